@@ -17,6 +17,12 @@ _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def is_word(lower: np.ndarray) -> np.ndarray:
+    return _WORD[lower]
+
+
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 #: Bytes of text that one vectorised step works on; a longer document is one step of its own.
 STEP_BYTES = 1 << 20
@@ -87,12 +93,13 @@ def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return bytes_[at[0] : at[-1]], at - at[0]
 
 
-def steps(column: pa.Array | pa.ChunkedArray, limit: int = STEP_BYTES):
-    """Texts of at most limit bytes each, or of one document."""
+def steps(column: pa.Array | pa.ChunkedArray, limit: int = STEP_BYTES, most: int = 1 << 14):
+    """Texts of at most limit bytes and most documents each, or of one document."""
     data, offsets = column_bytes(column)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        j = min(j, i + most)
         yield Texts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], i)
         i = j
 
