@@ -36,10 +36,26 @@ def hashed_profile(texts: tokens.Texts, dim: int) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def present_words(texts: tokens.Texts, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, column) of each distinct hashed word of each text, sorted."""
-    w = tokens.words(texts)
-    pairs = np.unique((w.text.astype(np.uint64) << np.uint64(bits)) | (w.hash >> np.uint64(64 - bits)))
+#: Byte lengths of the word beginnings that stand for inflected forms.
+STEMS = (4, 5)
+
+
+def stem_hashes(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the beginning of every word longer than it, for each length of STEMS."""
+    text, value = [], []
+    for n in STEMS:
+        long = (w.end - w.start) > n
+        text.append(w.text[long])
+        value.append(tokens.mix(tokens.span_hashes(w.lower, w.start[long], w.start[long] + n) + np.uint64(n)))
+    return np.concatenate(text), np.concatenate(value)
+
+
+def present(w: tokens.Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, column) of each distinct hashed word or stem of each text, sorted; bits of the hash are kept."""
+    text, value = stem_hashes(w)
+    of = np.concatenate([w.text, text]).astype(np.uint64)
+    value = np.concatenate([w.hash, value])
+    pairs = np.unique((of << np.uint64(bits)) | (value >> np.uint64(64 - bits)))
     return (pairs >> np.uint64(bits)).astype(np.int64), (pairs & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 

@@ -81,16 +81,16 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float =
 
 
 class Model:
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, penalty: float = 1e-4):
+    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, penalty: float = 1e-3):
         self.bins = Binned(np.concatenate([positive, unlabelled]))
         p, u, size = self.bins(positive), self.bins(unlabelled), int(self.bins.start[-1]) + 1
         keep = lambda w: penalty * np.append(w[:-1], 0)
 
-        def against(w):
+        def against(w, p=p[::2], u=u[::2]):
             return _gather(p, (_sigmoid(_margin(w, p)) - 1) / len(p), size) + _gather(u, _sigmoid(_margin(w, u)) / len(u), size) + keep(w)
 
-        first = _descend(against, size, 250)
-        self.prior = prior = estimate_prior(_margin(first, p), _margin(first, u))
+        first = _descend(against, size, 250)  # on half of the rows; the prior is read off the other half
+        self.prior = prior = estimate_prior(_margin(first, p[1::2]), _margin(first, u[1::2])) if min(len(p), len(u)) > 1 else 0.5
 
         def risk(w):
             zp, zu = _margin(w, p), _margin(w, u)

@@ -1,12 +1,13 @@
 """Toxicity by weak supervision.
 
-Lexicon and pattern voters mark every text 1 (toxic), 0 (not) or abstain. Only the counts of the distinct vote
+Lexicon and pattern voters mark every text 1 (toxic), 0 (not) or abstain. Besides fixed lists, two lexicons are
+induced from labelled rows outside the held-out fold: words, and word beginnings (for inflected languages), that
+occur in toxic rows almost only. Only the counts of the distinct vote
 patterns reach the driver (at most 3**voters, in practice some dozens). A generative label model over them,
 fitted by expectation maximisation, gives each voter its accuracy and ties voters that depend on one another given
 the label into a tree (largest conditional mutual information), so that correlated voters aren't counted twice. Its
-posterior labels a bounded sample, on which a sparse linear classifier over hashed words is trained; that
-classifier scores every whole text. Labels, where there are any outside the held-out fold, only set the class
-balance the label model starts from.
+posterior labels a bounded sample, on which a sparse linear classifier over hashed words and word beginnings is
+trained; that classifier scores every whole text. Without labels the fixed voters remain.
 
 Defined results: null and empty texts get the classifier's score of no words; without rows to learn from scores
 are 0; repeated rows each get a row. Columns other than doc_id and text are not read from documents.
@@ -25,21 +26,26 @@ from . import features, tokens
 
 FOLDS = 5
 #: Rows on posterior labels that the classifier is trained on.
-SAMPLE = 30000
+SAMPLE = 20000
+#: Labelled rows that lexicons are induced from.
+LABELLED = 8000
+#: Toxic rows that an induced entry needs, and the clean rows it may have for each of them.
+LEAST, IMPURE = 6, 0.05
+#: Columns of the classifier that may have a weight.
+COLUMNS = 1500
 BITS = 18
 ABSTAIN = -1
 
 # Common insults and profanity by kind. Extend per language as needed.
 LEXICONS = {
-    "intellect": "idiot idiots idiotic moron morons moronic stupid dumb dumbass imbecile fool dimwit halfwit cretin dunce airhead brainless",
-    "worth": "worthless pathetic loser losers useless nobody failure wretch lowlife deadbeat pitiful",
-    "disgust": "scum trash disgusting filth filthy vermin garbage vile repulsive pig pigs rat scumbag sewage",
-    "mockery": "clown clowns joke laughable ridiculous freak weirdo creep buffoon jerk jackass",
-    "profanity": "fuck fucking fucker shit shitty bullshit bitch bastard asshole arse crap damn whore slut cunt dick prick",
-    "german": "idioten dummkopf trottel arschloch scheisse scheiße wichser abschaum versager depp blödmann mistkerl hurensohn",
-    "french": "imbécile crétin connard connasse salaud salope merde putain ordure débile abruti",
-    "spanish": "idiota imbécil estúpido estúpida pendejo cabrón mierda puta basura asqueroso inútil gilipollas",
-    "threat": "kill die hate destroy",
+    "intellect": "idiot idiots idiotic moron morons moronic stupid dumb dumbass imbecile dimwit halfwit cretin dunce brainless",
+    "worth": "worthless pathetic loser losers wretch lowlife deadbeat pitiful",
+    "disgust": "scum trash disgusting filth filthy vermin repulsive scumbag",
+    "mockery": "clown clowns laughable weirdo buffoon jackass",
+    "profanity": "fuck fucking fucker shit shitty bullshit bitch bastard asshole whore slut cunt",
+    "german": "idioten dummkopf trottel arschloch scheisse scheiße wichser abschaum blödmann mistkerl hurensohn",
+    "french": "imbécile crétin connard connasse salaud salope putain abruti",
+    "spanish": "idiota imbécil estúpido estúpida pendejo cabrón asqueroso gilipollas",
 }
 # Patterns of hostile address and of disguised insults.
 PATTERNS = {
@@ -53,40 +59,83 @@ def _hash_of(words: str) -> np.ndarray:
     return np.unique(tokens.words(tokens.Texts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64), 0)).hash)
 
 
-VOTERS = (*LEXICONS, *PATTERNS, "density", "shouting", "clean")
+VOTERS = (*LEXICONS, *PATTERNS, "induced_words", "induced_stems", "density", "shouting", "clean")
 
 
 class Voters:
     """Votes of all voters on texts: an int8 array with a column per voter."""
 
-    def __init__(self):
+    def __init__(self, words: np.ndarray, stems: np.ndarray):
         self.lists = [_hash_of(v) for v in LEXICONS.values()]
-        self.strong = [k != "threat" for k in LEXICONS]
         self.patterns = [re.compile(v.encode(), re.IGNORECASE) for v in PATTERNS.values()]
+        self.words, self.stems = words, stems
 
-    def __call__(self, texts: tokens.Texts) -> np.ndarray:
-        n, w = len(texts), tokens.words(texts)
+    def __call__(self, texts: tokens.Texts, w: tokens.Words) -> np.ndarray:
+        n, m = len(texts), len(self.lists)
         hits = np.stack([np.bincount(w.text[np.isin(w.hash, own)], minlength=n) for own in self.lists], axis=1)
-        count = np.diff(w.first)
         votes = np.full((n, len(VOTERS)), ABSTAIN, np.int8)
-        votes[:, : len(self.lists)][hits > 0] = 1
-        base = texts.data.tobytes()
-        ends = texts.offsets[1:]
-        disguised = np.zeros(n, bool)
+        votes[:, :m][hits > 0] = 1
+        base, ends = texts.data.tobytes(), texts.offsets[1:]
         for j, pattern in enumerate(self.patterns):
-            for m in pattern.finditer(base):
-                i = int(np.searchsorted(ends, m.start(), "right"))
-                if m.end() <= ends[i]:
-                    votes[i, len(self.lists) + j] = 1
-                    disguised[i] = True
-        strong = hits[:, self.strong].sum(1)
-        votes[:, -3] = np.where((strong >= 2) & (strong * 200 >= count), 1, np.where(strong == 0, 0, ABSTAIN))
+            for found in pattern.finditer(base):
+                i = int(np.searchsorted(ends, found.start(), "right"))
+                if found.end() <= ends[i]:
+                    votes[i, m + j] = 1
+        m += len(self.patterns)
+        stem_text, stem = features.stem_hashes(w)
+        votes[w.text[np.isin(w.hash, self.words)], m] = 1
+        votes[stem_text[np.isin(stem, self.stems)], m + 1] = 1
+        insults, any_vote = hits.sum(1), (votes == 1).any(1)
+        votes[:, -3] = np.where((insults >= 2) & (insults * 200 >= np.diff(w.first)), 1, ABSTAIN)
         upper = np.bincount(np.repeat(np.arange(n), np.diff(texts.offsets))[(texts.data >= 65) & (texts.data <= 90)], minlength=n)
-        votes[:, -2] = np.where((upper * 2 > np.diff(texts.offsets)) & (strong > 0), 1, ABSTAIN)
-        votes[:, -1] = np.where((hits.sum(1) == 0) & ~disguised, 0, ABSTAIN)
+        votes[:, -2] = np.where((upper * 2 > np.diff(texts.offsets)) & any_vote, 1, ABSTAIN)
+        votes[:, -1] = np.where(any_vote, ABSTAIN, 0)
         return votes
 
 
+def _labelled(batches):
+    """Per row the distinct 64-bit hashes of words and of stems."""
+    for batch in batches:
+        for texts in tokens.steps(batch.column("text")):
+            w = tokens.words(texts)
+            stem_text, stem = features.stem_hashes(w)
+            rows = {"words": [], "stems": []}
+            for name, of, value in (("words", w.text, w.hash), ("stems", stem_text, stem)):
+                order = np.lexsort((value, of))
+                of, value = of[order], value[order]
+                new = np.ones(len(of), bool)
+                new[1:] = (of[1:] != of[:-1]) | (value[1:] != value[:-1])
+                of, value = of[new], value[new]
+                cut = np.searchsorted(of, np.arange(len(texts) + 1))
+                rows[name] = [value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            part = batch.slice(texts.first, len(texts))
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(rows["words"], pa.binary()), pa.array(rows["stems"], pa.binary())], names=["toxic", "words", "stems"])
+
+
+def induce(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and of the stems that labelled toxic rows have and clean ones lack. Copies count once."""
+    none = np.zeros(0, np.uint64)
+    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    n = known.count()
+    if not n:
+        return none, none
+    chosen = known.where(features.unit(F.col("doc_id"), "labelled") < F.lit(min(1.0, sample / n)))  # at most about `sample` ids
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("toxic", "text").mapInArrow(_labelled, "toxic int, words binary, stems binary").toPandas()
+    rows = rows.drop_duplicates("words")
+    out = []
+    for name in ("words", "stems"):
+        count = {}
+        for label in (1, 0):
+            raw = b"".join(rows.loc[rows["toxic"] == label, name])
+            count[label] = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
+        value, toxic = count[1]
+        at = np.searchsorted(count[0][0], value)
+        near = np.minimum(at, max(len(count[0][0]) - 1, 0))
+        clean = np.where(count[0][0][near] == value, count[0][1][near], 0) if len(count[0][0]) else np.zeros(len(value))
+        out.append(value[(toxic >= LEAST) & (clean <= IMPURE * toxic)])
+    return out[0], out[1]
+
+
 class LabelModel:
     """P(votes, label): a vote depends on the label and, where that matters, on one other voter."""
 
@@ -172,52 +221,56 @@ def _unkey(keys: list[str]) -> np.ndarray:
     return np.array([[{"0": 0, "1": 1, "-": -1}[c] for c in k] for k in keys], np.int8).reshape(len(keys), len(VOTERS))
 
 
-def _vote(batches):
-    vote = Voters()
-    for batch in batches:
-        for texts in tokens.steps(batch.column("text")):
-            yield pa.RecordBatch.from_arrays([pa.array(_key(vote(texts)), pa.string())], names=["votes"])
+def _vote(words: np.ndarray, stems: np.ndarray):
+    def run(batches):
+        vote = Voters(words, stems)
+        for batch in batches:
+            for texts in tokens.steps(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([pa.array(_key(vote(texts, tokens.words(texts))), pa.string())], names=["votes"])
 
+    return run
 
-def _vote_and_words(batches):
-    vote = Voters()
-    for batch in batches:
-        for texts in tokens.steps(batch.column("text")):
-            at, column = features.present_words(texts, BITS)
-            cut = np.searchsorted(at, np.arange(len(texts) + 1))
-            column = column.astype(np.int32)
-            rows = [column[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(_key(vote(texts)), pa.string()), pa.array(rows, pa.binary())], names=["votes", "words"])
-
-
-def train_linear(rows: list[np.ndarray], target: np.ndarray, sparse: float = 2e-5, rounds: int = 80) -> np.ndarray:
-    """Weights and bias of logistic regression on soft labels with an L1 penalty: accelerated proximal steps.
-
-    Words of a single sample row can't earn a weight and are left out of the steps."""
-    column = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    seen, at, n = np.unique(column, return_inverse=True, return_counts=True)
-    keep = n[at] > 1
-    at, owner = at[keep], owner[keep]
-    size = len(seen)
-    # steps per column: the curvature bound of column j is its share of rows times the words of a row
-    share = np.bincount(at, minlength=size) / len(rows)
-    rate = 1.0 / (0.25 * np.sqrt(share + 1e-9) * 4 + 1e-3) / 4
-    w, bias = np.zeros(size), float(np.log(max(target.mean(), 1e-4) / max(1 - target.mean(), 1e-4)))
-    ahead, t = w.copy(), 1.0
-    for _ in range(rounds):
-        z = bias + np.bincount(owner, ahead[at], len(rows))
-        gap = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / len(rows)
-        moved = ahead - rate * np.bincount(at, gap[owner], size) * 50
-        new = np.sign(moved) * np.maximum(np.abs(moved) - rate * sparse * 50, 0)
-        new = np.clip(new, -8, 8)
-        t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        if ((ahead - new) * (new - w)).sum() > 0:  # the momentum points uphill: start it again
-            t_new = 1.0
-        ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
-        bias -= 2.0 * gap.sum()
+
+def _vote_and_words(words: np.ndarray, stems: np.ndarray):
+    def run(batches):
+        vote = Voters(words, stems)
+        for batch in batches:
+            for texts in tokens.steps(batch.column("text")):
+                w = tokens.words(texts)
+                at, column = features.present(w, BITS)
+                cut = np.searchsorted(at, np.arange(len(texts) + 1))
+                column = column.astype(np.int32)
+                rows = [column[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(_key(vote(texts, w)), pa.string()), pa.array(rows, pa.binary())], names=["votes", "words"])
+
+    return run
+
+
+def train_linear(rows: list[np.ndarray], target: np.ndarray, columns: int = COLUMNS, rounds: int = 200, penalty: float = 1e-5) -> np.ndarray:
+    """Weights and bias of logistic regression on soft labels.
+
+    Only the columns that go with the label most clearly (largest standard score, at least 4) get a weight."""
+    column = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    mean = float(np.clip(target.mean(), 1e-4, 1 - 1e-4)) if len(target) else 1e-4
+    n = np.bincount(column, minlength=1 << BITS)
+    z = (np.bincount(column, target[owner], 1 << BITS) - n * mean) / np.sqrt(n * mean * (1 - mean) + 1e-9)
+    chosen = np.argsort(-np.abs(z), kind="stable")[:columns]
+    chosen = chosen[(np.abs(z[chosen]) >= 4) & (n[chosen] >= 3)]
+    place = np.full(1 << BITS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    at = place[column]
+    owner, at = owner[at >= 0], at[at >= 0]
+    size = len(chosen)
+    w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    w[-1] = np.log(mean / (1 - mean))
+    for t in range(1, rounds + 1):
+        gap = 1 / (1 + np.exp(-np.clip(w[-1] + np.bincount(owner, w[at], len(rows)), -30, 30))) - target
+        g = np.append(np.bincount(at, gap[owner], size), gap.sum()) / max(len(rows), 1) + penalty * np.append(w[:-1], 0)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w = w - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
     out = np.zeros((1 << BITS) + 1)
-    out[seen], out[-1] = w, bias
+    out[chosen], out[-1] = w[:-1], w[-1]
     return out
 
 
@@ -225,18 +278,16 @@ def fit(documents: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) ->
     """Weights of the classifier and the label model, from rows outside the held-out fold."""
     key = F.col("doc_id")
     docs = documents.where(features.fold_key(key, FOLDS) != 0).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts = docs.select("text").mapInArrow(_vote, "votes string").groupBy("votes").count().toPandas()
+    own = labels.where(features.fold_key(key, FOLDS) != 0) if labels is not None else None
+    lexicons = induce(docs, own) if own is not None else (np.zeros(0, np.uint64),) * 2
+    counts = docs.select("text").mapInArrow(_vote(*lexicons), "votes string").groupBy("votes").count().toPandas()
     none = np.zeros((1 << BITS) + 1)
     none[-1] = -30
     if not len(counts):
         return none, None
-    balance = 0.1
-    if labels is not None:
-        known = labels.where((features.fold_key(key, FOLDS) != 0) & F.col("toxic").isNotNull()).agg(F.avg("toxic").alias("a")).first()["a"]
-        balance = min(0.5, max(0.005, float(known))) if known is not None else balance
-    model = LabelModel(_unkey(counts["votes"].tolist()), counts["count"].to_numpy(float), balance)
+    model = LabelModel(_unkey(counts["votes"].tolist()), counts["count"].to_numpy(float))
     rate = min(1.0, sample / counts["count"].sum())
-    rows = docs.where(features.unit(key, "toxicity") < F.lit(rate)).select("text").mapInArrow(_vote_and_words, "votes string, words binary").toPandas()
+    rows = docs.where(features.unit(key, "toxicity") < F.lit(rate)).select("text").mapInArrow(_vote_and_words(*lexicons), "votes string, words binary").toPandas()
     if not len(rows):
         return none, model
     names = sorted(set(rows["votes"]))
@@ -252,7 +303,7 @@ def predict(documents: DataFrame, weights: np.ndarray, keep: tuple[str, ...] = (
         for batch in batches:
             for texts in tokens.steps(batch.column("text")):
                 part = batch.slice(texts.first, len(texts))
-                at, column = features.present_words(texts, BITS)
+                at, column = features.present(tokens.words(texts), BITS)
                 score = 1 / (1 + np.exp(-np.clip(small[-1] + np.bincount(at, small[column], len(texts)), -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -273,7 +324,7 @@ def drop_toxic(documents: DataFrame, labels: DataFrame | None) -> DataFrame:
     def run(batches):
         for batch in batches:
             for texts in tokens.steps(batch.column("text")):
-                at, column = features.present_words(texts, BITS)
+                at, column = features.present(tokens.words(texts), BITS)
                 margin = weights[-1] + np.bincount(at, weights[column], len(texts))
                 yield batch.slice(texts.first, len(texts)).filter(pa.array(margin < 0))
 
