@@ -37,7 +37,8 @@ class Binned:
     """One-hot quantile bins of each feature."""
 
     def __init__(self, x: np.ndarray):
-        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+        bins = int(np.clip(len(x) // 100, 3, BINS))  # few rows: wide bins
+        self.cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
         self.start = np.concatenate(([0], np.cumsum([len(c) + 1 for c in self.cuts])))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
@@ -54,13 +55,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _descend(gradient, size: int, rounds: int = 400, rate: float = 0.05) -> np.ndarray:
-    """Adam steps from zero."""
-    w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
+    """Adam steps from zero; the mean of the last quarter of them."""
+    w, m, v, mean = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(size)
     for t in range(1, rounds + 1):
         g = gradient(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w
+        if t > rounds * 3 // 4:
+            mean += w / (rounds - rounds * 3 // 4)
+    return mean
 
 
 def _gather(b: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
@@ -69,15 +72,15 @@ def _gather(b: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     return g
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.2) -> float:
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.3) -> float:
     """The least ratio of unlabelled to positive mass over upper score regions that hold a share of positives.
 
-    Each ratio carries its standard error, so that a small region doesn't win by chance."""
+    Each ratio carries half its standard error, so that a small region doesn't win by chance."""
     cuts = np.quantile(positive, np.linspace(0, 1 - least, 60))
     p = np.array([(positive >= c).mean() for c in cuts])
     u = np.array([(unlabelled >= c).mean() for c in cuts])
     error = np.sqrt(u * (1 - u) / len(unlabelled) + p * (1 - p) / len(positive))
-    return float(np.clip(((u + error) / p).min(), 0.05, 0.99))
+    return float(np.clip(((u + error / 2) / p).min(), 0.05, 0.99))
 
 
 class Model:
@@ -86,11 +89,15 @@ class Model:
         p, u, size = self.bins(positive), self.bins(unlabelled), int(self.bins.start[-1]) + 1
         keep = lambda w: penalty * np.append(w[:-1], 0)
 
-        def against(w, p=p[::2], u=u[::2]):
+        def against(w, p, u):
             return _gather(p, (_sigmoid(_margin(w, p)) - 1) / len(p), size) + _gather(u, _sigmoid(_margin(w, u)) / len(u), size) + keep(w)
 
-        first = _descend(against, size, 250)  # on half of the rows; the prior is read off the other half
-        self.prior = prior = estimate_prior(_margin(first, p[1::2]), _margin(first, u[1::2])) if min(len(p), len(u)) > 1 else 0.5
+        # the prior is read off rows that the first model hasn't seen, each half of the rows in turn
+        held = []
+        for i in (0, 1):
+            first = _descend(lambda w, i=i: against(w, p[i::2], u[i::2]), size, 250) if min(len(p), len(u)) > 1 else np.zeros(size)
+            held.append(estimate_prior(_margin(first, p[1 - i :: 2]), _margin(first, u[1 - i :: 2])) if min(len(p), len(u)) > 1 else 0.5)
+        self.prior = prior = sum(held) / 2
 
         def risk(w):
             zp, zu = _margin(w, p), _margin(w, u)

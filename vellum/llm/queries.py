@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, neardup, quality, toxicity, warc
+from . import decontaminate, language, mixing, neardup, quality, suffixes, toxicity, warc
 from .store import read_table, set_python_batches
 
 
@@ -26,6 +26,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(read_table(spark, sf_dir, "documents"))
 
 
+def op7_exact_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    set_python_batches(spark)
+    return suffixes.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     set_python_batches(spark)
     return neardup.report(read_table(spark, sf_dir, "documents"))
@@ -42,7 +47,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op3_toxicity, op5_warc_revisits, op6_language, op8_near_duplicates, op9_quality, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_mix_sources, op3_toxicity, op5_warc_revisits, op6_language, op7_exact_substrings, op8_near_duplicates, op9_quality, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
