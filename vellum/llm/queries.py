@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, neardup, quality, suffixes, toxicity, warc
+from . import decontaminate, fingerprints, language, mixing, neardup, quality, suffixes, toxicity, warc
 from .store import read_table, set_python_batches
 
 
@@ -12,6 +12,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read_table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     set_python_batches(spark)
     return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
@@ -47,7 +51,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op3_toxicity, op5_warc_revisits, op6_language, op7_exact_substrings, op8_near_duplicates, op9_quality, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_toxicity, op5_warc_revisits, op6_language, op7_exact_substrings, op8_near_duplicates, op9_quality, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
