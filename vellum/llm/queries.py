@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, language, mixing, neardup, quality, suffixes, toxicity, warc
+from . import decontaminate, fingerprints, language, mixing, neardup, passages, quality, suffixes, toxicity, warc
 from .store import read_table, set_python_batches
 
 
@@ -21,6 +21,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    set_python_batches(spark)
+    return passages.report(read_table(spark, sf_dir, "documents"))
+
+
 def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(read_table(spark, sf_dir, "pages"))
 
@@ -51,7 +56,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_toxicity, op5_warc_revisits, op6_language, op7_exact_substrings, op8_near_duplicates, op9_quality, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_mix_sources, op2_fingerprints, op3_toxicity, op4_fuzzy_passages, op5_warc_revisits, op6_language, op7_exact_substrings, op8_near_duplicates, op9_quality, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:

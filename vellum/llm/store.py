@@ -62,4 +62,4 @@ def parts_for(total_bytes: int, chunk: int = CHUNK_BYTES) -> int:
 
 def set_python_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows: documents may be very long, so rows, not bytes, are what the setting can bound."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
