@@ -83,8 +83,8 @@ def _sketch(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "keys"])
 
 
-def matched_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[int] | None:
-    """Lengths of the runs of equal words in the best alignment of a and b, or None beyond `most` insertions and deletions.
+def matched_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int, int]] | None:
+    """Runs (x, y, length) of equal words in the best alignment of a and b, or None beyond `most` insertions and deletions.
 
     The band is the diagonals within `most` of the main one; furthest points are kept per number of differences."""
     n, m = len(a), len(b)
@@ -123,27 +123,37 @@ def matched_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[int] | None:
     for d in range(len(history) - 1, -1, -1):
         before = history[d]
         if d == 0:
-            runs.append(x)
+            runs.append((0, 0, x))
             break
         down = k == -d or (k != d and before.get(k - 1, -1) < before.get(k + 1, -1))
         start = before.get(k + 1, -1) if down else before.get(k - 1, -1) + 1
-        runs.append(x - start)
+        runs.append((start, start - k, x - start))
         x = before.get(k + 1, -1) if down else before.get(k - 1, -1)
         k = k + 1 if down else k - 1
-    return runs
+    return [r for r in runs[::-1] if r[2]]
 
 
-def _ordered_unique(sa: np.ndarray, sb: np.ndarray) -> int:
-    """Length of the longest common order of the shingles that are unique in either text and shared."""
+def anchored_pairs(sa: np.ndarray, sb: np.ndarray) -> list[tuple[int, int]]:
+    """The longest common order of the shingles that are unique in either text and shared: their places in both."""
     ua, ia, ca = np.unique(sa, return_index=True, return_counts=True)
     ub, ib, cb = np.unique(sb, return_index=True, return_counts=True)
-    shared, x, y = np.intersect1d(ua[ca == 1], ub[cb == 1], return_indices=True)
-    at = ib[cb == 1][y][np.argsort(ia[ca == 1][x])]
+    _, x, y = np.intersect1d(ua[ca == 1], ub[cb == 1], return_indices=True)
+    at, to = ia[ca == 1][x], ib[cb == 1][y]
+    order = np.argsort(at)
+    at, to = at[order].tolist(), to[order].tolist()
     tails: list[int] = []
-    for v in at.tolist():
+    last: list[int] = []
+    back = [-1] * len(to)
+    for i, v in enumerate(to):
         j = bisect_left(tails, v)
         tails[j : j + 1] = [v]
-    return len(tails)
+        last[j : j + 1] = [i]
+        back[i] = last[j - 1] if j else -1
+    out, i = [], last[-1] if last else -1
+    while i >= 0:
+        out.append((at[i], to[i]))
+        i = back[i]
+    return out[::-1]
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -165,9 +175,9 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     most = int(len(a) + len(b) - 2 * (need + SHINGLE - 1) + 1e-6)
     runs = matched_runs(a, b, max(0, min(most, WIDEST)))
     if runs is not None:
-        matched = sum(max(0, r - SHINGLE + 1) for r in runs)
+        matched = sum(max(0, n - SHINGLE + 1) for _, _, n in runs)
     elif most > WIDEST:
-        matched = _ordered_unique(sa, sb)
+        matched = len(anchored_pairs(sa, sb))
     else:
         return 0.0
     value = matched / (total - matched)
