@@ -138,43 +138,66 @@ def machines(patterns: list[bytes]) -> list[WuManber]:
     return [WuManber(patterns, c) for c in classes if c]
 
 
-def _search(items: list[tuple[str, str]]):
-    patterns, owners, sizes = windows(items)
+class Search:
+    """Windows of benchmark items, and where they occur in texts."""
+
+    def __init__(self, items: list[tuple[str, str]]):
+        patterns, self.owners, sizes = windows(items)
+        self.machines, self.sizes = machines(patterns), np.array(sizes, np.int64)
+
+    def __call__(self, texts: tokens.Texts) -> tuple[tokens.Words, np.ndarray, np.ndarray]:
+        """The words, and (word, window) of every occurrence."""
+        body, begin, w = normal_form(texts)
+        found = [m.find(body) for m in self.machines] or [(np.zeros(0, np.int64),) * 2]
+        pos, which = (np.concatenate(x) for x in zip(*found, strict=True))
+        word = np.searchsorted(begin, pos)  # a pattern starts with the space before a word
+        if len(pos):
+            keep = (word < len(begin)) & (begin[np.minimum(word, len(begin) - 1)] == pos)
+            word, which = word[keep], which[keep]
+        return w, word, which
 
+
+def _search(items: list[tuple[str, str]]):
     def run(batches):
-        search, n_of = machines(patterns), np.array(sizes, np.int64)
+        search = Search(items)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False) if not batch.column("doc_id").null_count else np.array(batch.column("doc_id").to_pylist(), object)
             for texts in tokens.steps(batch.column("text")):
-                body, begin, w = normal_form(texts)
-                found = [m.find(body) for m in search] or [(np.zeros(0, np.int64),) * 2]
-                pos, which = (np.concatenate(x) for x in zip(*found, strict=True))
-                word = np.searchsorted(begin, pos)  # a pattern starts with the space before a word
-                if len(pos):
-                    keep = (word < len(begin)) & (begin[np.minimum(word, len(begin) - 1)] == pos)
-                    pos, which, word = pos[keep], which[keep], word[keep]
-                delta = np.zeros(len(begin) + 1, np.int64)
+                w, word, which = search(texts)
+                delta = np.zeros(len(w.start) + 1, np.int64)
                 np.add.at(delta, word, 1)
-                np.add.at(delta, word + n_of[which], -1)
+                np.add.at(delta, word + search.sizes[which], -1)
                 hit = np.cumsum(delta[:-1]) > 0
                 owned: dict[int, set[str]] = {}
                 for t, p in zip(w.text[word].tolist(), which.tolist(), strict=True):
-                    owned.setdefault(t, set()).update(owners[p])
-                rows = {"doc_id": [], "n_words": [], "hits": [], "items": []}
+                    owned.setdefault(t, set()).update(search.owners[p])
+                rows = {"n_words": [], "hits": [], "items": []}
                 for i in range(len(texts)):
                     a, b = int(w.first[i]), int(w.first[i + 1])
-                    rows["doc_id"].append(ids[texts.first + i])
                     rows["n_words"].append(b - a)
                     rows["hits"].append(np.flatnonzero(hit[a:b]).tolist() if i in owned else [])
                     rows["items"].append(sorted(owned.get(i, ())))
+                part = batch.slice(texts.first, len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows["doc_id"], pa.int64()), pa.array(rows["n_words"], pa.int64()), pa.array(rows["hits"], pa.list_(pa.int32())), pa.array(rows["items"], pa.list_(pa.string()))],
-                    names=list(rows),
+                    [part.column("doc_id"), pa.array(rows["n_words"], pa.int64()), pa.array(rows["hits"], pa.list_(pa.int32())), pa.array(rows["items"], pa.list_(pa.string()))],
+                    names=["doc_id", *rows],
                 )
 
     return run
 
 
+def _clean(items: list[tuple[str, str]]):
+    def run(batches):
+        search = Search(items)
+        for batch in batches:
+            for texts in tokens.steps(batch.column("text")):
+                w, word, _ = search(texts)
+                keep = np.ones(len(texts), bool)
+                keep[w.text[word]] = False
+                yield batch.slice(texts.first, len(texts)).filter(pa.array(keep))
+
+    return run
+
+
 def _blocks(benchmark: DataFrame, limit: int):
     """Lists of (item_id, text) of at most limit bytes of text, streamed to the driver one block at a time."""
     block, held = [], 0
@@ -218,11 +241,11 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of documents without any benchmark window; all columns stay."""
-    bad = hits(documents, benchmark).where(F.size("hits") > 0).select(F.col("doc_id").alias("__bad")).distinct()
-    joined = documents.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__bad")), "left_anti")
-    return joined
+    for block in _blocks(benchmark, block_bytes):
+        documents = documents.mapInArrow(_clean(block), documents.schema)
+    return documents
 
 
 def brute_force(text: str | None, items: list[tuple[str, str]]) -> tuple[int, int, str]:
