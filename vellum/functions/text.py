@@ -120,7 +120,7 @@ def plain_math(text: Column) -> Column:
     t = F.aggregate(
         F.arrays_zip(all_of(text, pattern).alias("whole"), all_of(text, pattern, 1).alias("body")),
         text,
-        lambda acc, m: F.replace(acc, m["0"], rows(m["1"])),
+        lambda acc, m: F.replace(acc, m["whole"], rows(m["body"])),
     )
     # Replacements in order.
     for sign, by in (
@@ -133,7 +133,7 @@ def plain_math(text: Column) -> Column:
     return F.aggregate(
         F.arrays_zip(all_of(t, wrapped).alias("whole"), all_of(t, wrapped, 1).alias("body")),
         t,
-        lambda acc, m: F.replace(acc, m["0"], F.regexp_replace(m["1"], r"\s+", " ")),
+        lambda acc, m: F.replace(acc, m["whole"], F.regexp_replace(m["body"], r"\s+", " ")),
     )
 
 

@@ -1,0 +1,69 @@
+"""Counts of an export against its source, instance states, and assembled reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+
+
+def mark_counts(texts: DataFrame) -> DataFrame:
+    """id, what, n of tables, images and both marks in each text (id, text)."""
+    n = lambda p: F.regexp_count("text", F.lit(p)).cast("long")
+    counts = F.map_from_arrays(F.array(*map(F.lit, ("tables", "images", "cautions", "unstable"))), F.array(n("(?i)<table"), n("(?i)<img |<binary "), n(T.CAUTION), n(T.UNSTABLE)))
+    return texts.select("id", F.explode(counts).alias("what", "n"))
+
+
+def reconcile(source: DataFrame, target: DataFrame) -> DataFrame:
+    """id, what, want, have, short: what an export lacks of its source. Both: id, what, n."""
+    t = target.select("id", "what", F.col("n").alias("have"))
+    rows = source.join(t, ["id", "what"], "left").select("id", "what", F.col("n").alias("want"), F.coalesce("have", F.lit(0)).cast("long").alias("have"))
+    return rows.withColumn("short", F.col("have") < F.col("want"))
+
+
+def states(wanted: DataFrame, listed: DataFrame, asked: DataFrame) -> DataFrame:
+    """id, state: alive, absent, or unknown where the listing (host) couldn't be asked; unknown counts as alive.
+
+    wanted: id, host; listed: id; asked: host, ok."""
+    rows = wanted.join(listed.select("id").distinct().withColumn("__l", F.lit(True)), "id", "left").join(asked, "host", "left")
+    return rows.select("id", F.when(F.col("__l"), "alive").when(F.col("ok"), "absent").otherwise("unknown").alias("state"))
+
+
+def own_instances(instances: DataFrame, prefix: str = "bs-") -> DataFrame:
+    """Instances whose label marks them as ours."""
+    return instances.where(F.col("label").startswith(prefix))
+
+
+def label(name: str = "job", prefix: str = "bs-", most: int = 28):
+    """A label of a job: the prefix and the first characters of its name."""
+    return F.concat(F.lit(prefix), F.substring(name, 1, most))
+
+
+def ssh_target(rows: DataFrame) -> DataFrame:
+    """rows (direct, proxy) with target: the direct address, else the host and port in the proxy's URL."""
+    return rows.withColumn("target", F.coalesce("direct", F.nullif(F.regexp_extract("proxy", r"ssh://(?:[^@/]*@)?([^/]+)", 1), F.lit(""))))
+
+
+def link_speed(probes: DataFrame) -> DataFrame:
+    """probes (ok, sent, got, seconds) with mbit_s: 0 where the probe failed or less than half came."""
+    good = F.col("ok") & (F.col("got") * 2 >= F.col("sent")) & (F.col("seconds") > 0)
+    return probes.withColumn("mbit_s", F.when(good, F.col("got") * F.lit(8.0) / F.lit(1e6) / F.col("seconds")).otherwise(F.lit(0.0)))
+
+
+def report(measured: DataFrame) -> DataFrame:
+    """book, text: measures (book and counts) as Markdown lines in order of the columns."""
+    names = [c for c in measured.columns if c != "book"]
+    lines = [F.concat(F.lit(f"- {n}: "), F.coalesce(F.col(n).cast("string"), F.lit("?"))) for n in names]
+    return measured.select("book", F.concat_ws("\n", F.lit("# Report"), *lines).alias("text"))
+
+
+def preflight(tables: dict[str, DataFrame], expected: dict[str, str]) -> list[str]:
+    """Names of tables whose columns and types aren't the expected ones (name → 'column type, …')."""
+    bad = []
+    for name, wanted in expected.items():
+        have = dict(tables[name].dtypes) if name in tables else None
+        want = dict(x.strip().rsplit(" ", 1) for x in wanted.split(","))
+        if have is None or any(have.get(c) != t for c, t in want.items()):
+            bad.append(name)
+    return bad
