@@ -113,7 +113,7 @@ class Model:
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from rows outside the held-out fold that have a lang."""
-    known = documents.where((features.fold_key(F.col("doc_id"), FOLDS) != 0) & F.col("lang").isNotNull())
+    known = documents.where((features.fold_key(F.col("doc_id"), FOLDS) != 0) & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     rates = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1))).alias("rate"))  # one row per language
     key = features.unit(F.col("doc_id"), "language")
     chosen = known.join(F.broadcast(rates), "lang").where(key < F.col("rate")).select("lang", F.coalesce("text", F.lit("")).alias("text"))

@@ -18,7 +18,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -244,9 +244,19 @@ def report(documents: DataFrame) -> DataFrame:
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """documents with one document of each class: the one of least doc_id, once; rows of null doc_id stay."""
-    found = classes(documents).where("doc_id = class_id").select(F.col("doc_id").alias("__d"))
-    columns = documents.columns
-    named = documents.where(F.col("doc_id").isNotNull()).join(found, F.col("doc_id").cast("long") == F.col("__d"), "left_semi")
-    once = named.dropDuplicates(["doc_id"])
-    return once.unionByName(documents.where(F.col("doc_id").isNull())).select(*[F.col(f"`{c}`") for c in columns])
+    """documents with one row of each class: of the least doc_id, the row of least text; rows of null doc_id stay."""
+    found = classes(documents).where("doc_id = class_id").select(F.col("doc_id").alias("kept_id"))
+    named = documents.where(F.col("doc_id").isNotNull())
+    kept = named.join(found, named["doc_id"] == found["kept_id"], "left_semi")
+    order = Window.partitionBy(kept["doc_id"]).orderBy(kept["text"])
+    place = _free_name(documents, "place")
+    once = kept.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return once.unionByName(documents.where(F.col("doc_id").isNull()))
+
+
+def _free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
