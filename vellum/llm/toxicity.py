@@ -6,7 +6,7 @@ occur in toxic rows almost only. Only the counts of the distinct vote
 patterns reach the driver (at most 3**voters, in practice some dozens). A generative label model over them,
 fitted by expectation maximisation, gives each voter its accuracy and ties voters that depend on one another given
 the label into a tree (largest conditional mutual information), so that correlated voters aren't counted twice. Its
-posterior labels a bounded sample, on which a sparse linear classifier over hashed words and word beginnings is
+posterior (labels of the learning rows count where there are any) marks a bounded sample, on which a sparse linear classifier over hashed words and word beginnings is
 trained; that classifier scores every whole text. Without labels the fixed voters remain.
 
 Defined results: null and empty texts get the classifier's score of no words; without rows to learn from scores
@@ -137,18 +137,33 @@ def induce(docs: DataFrame, labels: DataFrame, sample: int = LABELLED) -> tuple[
 
 
 class LabelModel:
-    """P(votes, label): a vote depends on the label and, where that matters, on one other voter."""
+    """P(votes, label): a vote depends on the label and, where that matters, on one other voter.
 
-    def __init__(self, patterns: np.ndarray, counts: np.ndarray, balance: float = 0.1, rounds: int = 30, link: float = 0.002):
+    counts are of rows with each pattern of votes; known holds, for those of them that carry a label, the numbers of
+    toxic and clean ones, whose labels stand in for the posterior."""
+
+    def __init__(self, patterns: np.ndarray, counts: np.ndarray, balance: float = 0.1, known: tuple[np.ndarray, np.ndarray] | None = None, rounds: int = 30, link: float = 0.002):
         v = patterns.astype(int) + 1
         m = v.shape[1]
-        # the first guess: more votes for toxic than against
-        post = np.where((v == 2).sum(1) > (v == 1).sum(1), 0.9, 0.1 * balance)
+        toxic, clean = known or (np.zeros(len(v)), np.zeros(len(v)))
+        # voters that vote alike share one vote in the first guess (more votes for toxic than against), and one factor
+        # until the labels are clear enough to tell dependence from accuracy
+        signed = np.where(v == 2, 1.0, np.where(v == 1, -1.0, 0.0))
+        centred = signed - (signed * counts[:, None]).sum(0) / counts.sum()
+        spread = np.sqrt((centred**2 * counts[:, None]).sum(0)) + 1e-12
+        alike = np.abs((centred * counts[:, None]).T @ centred / spread[:, None] / spread[None, :]) ** 4
+        self.weight = 1 / np.maximum(alike.sum(1), 1.0)
+        post = np.where(signed @ self.weight > 0, 0.9, 0.1 * balance)
+        if not (toxic.sum() and clean.sum()):  # without labels of both kinds a fifth of the rows is held at the first guess
+            toxic, clean = counts * post / 5, counts * (1 - post) / 5
+        post = (toxic + post) / (toxic + clean + 1)
         self.balance, self.parent = balance, [None] * m
         for at in range(rounds):
             if at == rounds // 2:
-                self.parent = self._tree(v, counts, post, link)
-            self._tables(v, counts, post)
+                self.parent, self.weight = self._tree(v, counts, post, link), np.ones(m)
+            # labels count as they are, the other rows by the posterior
+            mixed = (toxic + np.maximum(counts - toxic - clean, 0) * post) / np.maximum(counts, 1e-9)
+            self._tables(v, counts, mixed)
             post = self.posterior(patterns)
         #: Chance that a vote of each voter is right, where it votes.
         self.accuracy = [
@@ -208,7 +223,7 @@ class LabelModel:
         for j, p in enumerate(self.parent):
             of = v[:, p] if p is not None else np.zeros(len(v), int)
             for y in (0, 1):
-                log[:, y] += np.log(self.tables[j][y][of, v[:, j]])
+                log[:, y] += self.weight[j] * np.log(self.tables[j][y][of, v[:, j]])
         return 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50)))
 
 
@@ -226,7 +241,8 @@ def _vote(words: np.ndarray, stems: np.ndarray):
         vote = Voters(words, stems)
         for batch in batches:
             for texts in tokens.steps(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([pa.array(_key(vote(texts, tokens.words(texts))), pa.string())], names=["votes"])
+                part = batch.slice(texts.first, len(texts))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_key(vote(texts, tokens.words(texts))), pa.string())], names=["doc_id", "votes"])
 
     return run
 
@@ -256,7 +272,7 @@ def train_linear(rows: list[np.ndarray], target: np.ndarray, columns: int = COLU
     n = np.bincount(column, minlength=1 << BITS)
     z = (np.bincount(column, target[owner], 1 << BITS) - n * mean) / np.sqrt(n * mean * (1 - mean) + 1e-9)
     chosen = np.argsort(-np.abs(z), kind="stable")[:columns]
-    chosen = chosen[(np.abs(z[chosen]) >= 4) & (n[chosen] >= 3)]
+    chosen = chosen[(np.abs(z[chosen]) >= 4) & (n[chosen] >= min(3, 1 + len(rows) // 100))]
     place = np.full(1 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     at = place[column]
@@ -280,12 +296,19 @@ def fit(documents: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) ->
     docs = documents.where(features.fold_key(key, FOLDS) != 0).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = labels.where(features.fold_key(key, FOLDS) != 0) if labels is not None else None
     lexicons = induce(docs, own) if own is not None else (np.zeros(0, np.uint64),) * 2
-    counts = docs.select("text").mapInArrow(_vote(*lexicons), "votes string").groupBy("votes").count().toPandas()
+    voted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_vote(*lexicons), "doc_id long, votes string")
+    if own is not None:
+        known = own.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
+        voted = voted.join(known, F.col("doc_id") == F.col("id"), "left")
+    else:
+        voted = voted.withColumn("toxic", F.lit(None).cast("int"))
+    # one row per pattern of votes
+    counts = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("count"), F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).toPandas()
     none = np.zeros((1 << BITS) + 1)
     none[-1] = -30
     if not len(counts):
         return none, None
-    model = LabelModel(_unkey(counts["votes"].tolist()), counts["count"].to_numpy(float))
+    model = LabelModel(_unkey(counts["votes"].tolist()), counts["count"].to_numpy(float), known=(counts["toxic"].to_numpy(float), counts["clean"].to_numpy(float)))
     rate = min(1.0, sample / counts["count"].sum())
     rows = docs.where(features.unit(key, "toxicity") < F.lit(rate)).select("text").mapInArrow(_vote_and_words(*lexicons), "votes string, words binary").toPandas()
     if not len(rows):
