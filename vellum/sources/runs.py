@@ -19,22 +19,26 @@ def _page(path: Column) -> Column:
 
 def page_texts(spark: SparkSession, run: str) -> DataFrame:
     """page, text of the Markdown pages of a run, numbered by their file names."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(f"{run}/pages")
+    files = spark.read.option("pathGlobFilter", "*.md").text(f"{run}/pages", wholetext=True)
     return files.select(_page(F.col("_metadata.file_name")).alias("page"), F.col("value").alias("text"))
 
 
+def _page_files(spark: SparkSession, run: str) -> DataFrame:
+    """page, j of the page files: parsed text, with the text itself in j._corrupt where it isn't JSON."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(f"{run}/pages", wholetext=True)
+    return files.select(_page(F.col("_metadata.file_name")).alias("page"), F.from_json("value", BLOCKS, {"columnNameOfCorruptRecord": "_corrupt"}).alias("j"))
+
+
 def page_blocks(spark: SparkSession, run: str) -> DataFrame:
     """page, pos, label, content, bbox of the blocks of a run's page files; empty blocks and unreadable files give none."""
-    read = spark.read.schema(BLOCKS).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json").json(f"{run}/pages")
-    rows = read.select(_page(F.col("_metadata.file_name")).alias("page"), F.posexplode("parsing_res_list").alias("pos", "b"))
+    rows = _page_files(spark, run).where("j._corrupt IS NULL").select("page", F.posexplode("j.parsing_res_list").alias("pos", "b"))
     content = F.regexp_replace(F.col("b.block_content"), r"(?U)^\s+|\s+$", "")
     return rows.select("page", "pos", F.coalesce("b.block_label", F.lit("text")).alias("label"), content.alias("content"), F.col("b.block_bbox").alias("bbox")).where("content <> ''")
 
 
 def unreadable_pages(spark: SparkSession, run: str) -> DataFrame:
     """page of the page files that can't be read: the third outcome besides good and bad, never silent."""
-    read = spark.read.schema(BLOCKS).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "*.json").json(f"{run}/pages")
-    return read.select(_page(F.col("_metadata.file_name")).alias("page"), "parsing_res_list", "_corrupt").where("_corrupt IS NOT NULL").select("page")
+    return _page_files(spark, run).where("j._corrupt IS NOT NULL").select("page")
 
 
 def done_pages(spark: SparkSession, run: str, only_json: bool = False) -> DataFrame:
@@ -46,21 +50,25 @@ def done_pages(spark: SparkSession, run: str, only_json: bool = False) -> DataFr
 
 def run_facts(spark: SparkSession, run: str) -> DataFrame:
     """One MAP of a run's facts: run.json, vllm.json and progress.json in this order, later files win."""
-    parts = spark.read.option("wholetext", True).option("pathGlobFilter", "{run,vllm,progress}.json").text(run)
+    parts = spark.read.option("pathGlobFilter", "{run,vllm,progress}.json").text(run, wholetext=True)
     rank = F.expr("CASE _metadata.file_name WHEN 'run.json' THEN 1 WHEN 'vllm.json' THEN 2 ELSE 3 END")
     facts = parts.select(rank.alias("rank"), F.explode(F.from_json("value", "map<string,string>")).alias("k", "v"))
     last = facts.groupBy("k").agg(F.max_by("v", "rank").alias("v"))
     return last.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias("facts"))
 
 
+def _ledger_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    return lines.select("value", F.from_json("value", LEDGER, {"columnNameOfCorruptRecord": "_corrupt"}).alias("j"))
+
+
 def ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Runs of a JSON-lines ledger; lines that aren't JSON are left out (bad_ledger_lines counts them)."""
-    return spark.read.schema(LEDGER).option("columnNameOfCorruptRecord", "_corrupt").json(path).where("_corrupt IS NULL").drop("_corrupt")
+    """Runs of a JSON-lines ledger; lines that aren't JSON are left out (bad_ledger_lines has them)."""
+    return _ledger_lines(spark, path).where("j._corrupt IS NULL").select("j.*").drop("_corrupt")
 
 
 def bad_ledger_lines(spark: SparkSession, path: str) -> DataFrame:
-    read = spark.read.schema(LEDGER).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return read.select("job", "_corrupt").where("_corrupt IS NOT NULL").select("_corrupt")
+    return _ledger_lines(spark, path).where("j._corrupt IS NOT NULL").select("value")
 
 
 def bad_machines(texts: DataFrame) -> DataFrame:
