@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,7 +106,23 @@ def line_columns(lines: DataFrame, pages: DataFrame, width: float, gutter: float
     return lines.join(pages, "page").withColumn("col", F.when(~F.col("two_col"), 0).when(across, -1).otherwise(side))
 
 
-_KEPT = "page long, i int, label string, x0 double, y0 double, x1 double, y1 double"
+def _by_page(boxes: DataFrame, order: list[str], fields: list[str], fold, schema: dict[str, pa.DataType], ddl: str) -> DataFrame:
+    """fold(page, rows) → output rows, over each page's boxes in order.
+
+    Pages are gathered by the JVM and folded many to a batch: a Python call per page costs far more than its boxes."""
+    cells = F.array_sort(F.collect_list(F.struct(*order, *fields)))
+    pages = boxes.groupBy("page").agg(cells.alias("rows"))
+
+    def run(batches):
+        for batch in batches:
+            out = [row for page, rows in zip(batch.column("page").to_pylist(), batch.column("rows").to_pylist(), strict=True) for row in fold(page, rows)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.values(), strict=True)], names=list(schema))
+
+    return pages.mapInArrow(run, ddl)
+
+
+_BOX = {"x0": pa.float64(), "y0": pa.float64(), "x1": pa.float64(), "y1": pa.float64()}
 
 
 def _share(a, b) -> float:
@@ -134,8 +150,7 @@ def suppress(boxes: DataFrame, least_side: float = 6.0) -> DataFrame:
 
     A drop changes what later pairs see, so each page is folded in order of i; a page's boxes are a small group."""
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        rows = page[page["label"] != "reference"].sort_values("i").to_dict("records")
+    def fold(page, rows):
         for r in rows:
             r["box"] = (r["x0"], r["y0"], r["x1"], r["y1"])
             r["area"] = max(0.0, r["x1"] - r["x0"]) * max(0.0, r["y1"] - r["y0"])
@@ -149,10 +164,12 @@ def suppress(boxes: DataFrame, least_side: float = 6.0) -> DataFrame:
                 if b not in gone:
                     lost = _loser(p, rows[b], _share(p["box"], rows[b]["box"]))
                     gone |= ({a} if "p" in lost else set()) | ({b} if "q" in lost else set())
-        kept = [r for n, r in enumerate(rows) if n not in gone]
-        return pd.DataFrame(kept, columns=["page", "i", "label", "x0", "y0", "x1", "y1"]).astype({"x0": float, "y0": float, "x1": float, "y1": float})
+        return [(page, r["i"], r["label"], *r["box"]) for n, r in enumerate(rows) if n not in gone]
 
-    return boxes.select("page", "i", "label", "x0", "y0", "x1", "y1").groupBy("page").applyInPandas(fold, _KEPT)
+    schema = {"page": pa.int64(), "i": pa.int32(), "label": pa.string()} | _BOX
+    sides = [F.col(c).cast("double").alias(c) for c in _BOX]
+    kept = boxes.where("label <> 'reference'").select(F.col("page").cast("long").alias("page"), F.col("i").cast("int").alias("i"), "label", *sides)
+    return _by_page(kept, ["i"], ["label", *_BOX], fold, schema, "page long, i int, label string, x0 double, y0 double, x1 double, y1 double")
 
 
 def from_views(found: DataFrame, width: float, height: float, least_score: float = 0.3, scale: float = 1.0) -> DataFrame:
@@ -173,23 +190,28 @@ def merge_views(boxes: DataFrame, extra: DataFrame, width: float, least: float =
 
     A candidate that overlaps a table replaces it if larger (never the union) and lifts its score; another one is
     inserted in reading order: left half of the page first, then by height. Folded per page."""
-    tagged = boxes.select("page", "i", "label", "score", "x0", "y0", "x1", "y1", F.lit(0).alias("part")).unionByName(extra.select("page", "i", F.lit("table").alias("label"), "score", "x0", "y0", "x1", "y1", F.lit(1).alias("part")))
+    sides = [F.col(c).cast("double").alias(c) for c in _BOX]
+    one = lambda df, part, order, label: df.select(F.col("page").cast("long").alias("page"), F.lit(part).alias("part"), order.cast("double").alias("at"), F.col("i").cast("int").alias("i"), label.alias("label"), F.col("score").cast("double").alias("score"), *sides)
+    tagged = one(boxes, 0, F.col("i"), F.col("label")).unionByName(one(extra, 1, -F.col("score"), F.lit("table")))
 
     def place(box) -> tuple:
         return (0 if (box[0] + box[2]) / 2 < width / 2 else 1, box[1])
 
-    def fold(page: pd.DataFrame) -> pd.DataFrame:
-        own = [[r.label, r.score, (r.x0, r.y0, r.x1, r.y1)] for r in page[page["part"] == 0].sort_values("i").itertuples()]
-        for r in page[page["part"] == 1].sort_values(["score", "i"], ascending=[False, True], kind="stable").itertuples():
-            box = (r.x0, r.y0, r.x1, r.y1)
+    def fold(page, rows):
+        own: list[list] = []
+        for r in rows:
+            box = (r["x0"], r["y0"], r["x1"], r["y1"])
+            if r["part"] == 0:
+                own.append([r["label"], r["score"], box])
+                continue
             size = lambda b: (b[2] - b[0]) * (b[3] - b[1])
             same = next((o for o in own if o[0] == "table" and _share(box, o[2]) > least), None)
             if same:
-                same[1], same[2] = max(same[1], r.score), box if size(box) > size(same[2]) else same[2]
+                same[1], same[2] = max(same[1], r["score"]), box if size(box) > size(same[2]) else same[2]
             else:
                 at = next((n for n, o in enumerate(own) if place(o[2]) > place(box)), len(own))
-                own.insert(at, ["table", r.score, box])
-        rows = [(int(page["page"].iloc[0]), n, o[0], float(o[1]), *map(float, o[2])) for n, o in enumerate(own)]
-        return pd.DataFrame(rows, columns=["page", "ord", "label", "score", "x0", "y0", "x1", "y1"])
+                own.insert(at, ["table", r["score"], box])
+        return [(page, n, o[0], o[1], *o[2]) for n, o in enumerate(own)]
 
-    return tagged.groupBy("page").applyInPandas(fold, "page long, ord int, label string, score double, x0 double, y0 double, x1 double, y1 double")
+    schema = {"page": pa.int64(), "ord": pa.int32(), "label": pa.string(), "score": pa.float64()} | _BOX
+    return _by_page(tagged, ["part", "at", "i"], ["label", "score", *_BOX], fold, schema, "page long, ord int, label string, score double, x0 double, y0 double, x1 double, y1 double")
