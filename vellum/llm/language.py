@@ -10,6 +10,8 @@ learned from. Columns other than doc_id, text and lang are not read, and lang on
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,9 +55,9 @@ def svm(x: np.ndarray, sign: np.ndarray, penalty: float = 1e-4, rounds: int = 12
     w = np.zeros(x.shape[1] + 1, np.float32)
     ahead, t, rate = w.copy(), 1.0, 1 / (2 * 2.0 + penalty)
     for _ in range(rounds):
-        gap = np.maximum(0, 1 - sign * (x @ ahead[:-1] + ahead[-1])) * sign * weight * -2
+        gap = np.maximum(0, 1 - sign * (x @ ahead[:-1] + ahead[-1])) * sign * weight * np.float32(-2)
         grad = np.append(x.T @ gap + penalty * ahead[:-1], gap.sum()).astype(np.float32)
-        new, t_new = ahead - rate * grad, (1 + np.sqrt(1 + 4 * t * t)) / 2
+        new, t_new = ahead - rate * grad, (1 + math.sqrt(1 + 4 * t * t)) / 2  # plain floats keep the arrays single
         ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w
 
