@@ -68,3 +68,20 @@ def test_suffix_order_finds_equal_windows(parts, seed):
         want.append(w in seen)
         seen.add(w)
     assert suffixes.first_equal(text, windows).tolist() == want
+
+
+def test_stretches_of_a_long_text_give_the_same_result(spark, monkeypatch):
+    rows = texts(5)
+    monkeypatch.setattr(suffixes.tokens, "STEP_BYTES", 400)
+    got = suffixes.report(cases.documents(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_hashes_of_spans_do_not_depend_on_stretches(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 255, 5000).astype(np.uint8)
+    starts = np.sort(rng.integers(0, 4900, 300))
+    ends = starts + rng.integers(0, 100, 300)
+    want = suffixes.tokens.span_hashes(data, starts, ends)
+    monkeypatch.setattr(suffixes.tokens, "STEP_BYTES", 500)
+    assert (suffixes.tokens.span_hashes(data, starts, ends) == want).all()

@@ -115,7 +115,7 @@ class WuManber:
                 cursor, stop = cursor[live], stop[live]
         if not found:
             return none, none
-        at = np.concatenate(found) - (self.m - 1)
+        at = np.sort(np.concatenate(found)) - (self.m - 1)
         keys = tokens.span_hashes(text, at, at + self.m)
         low, high = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
         hit = np.flatnonzero(high > low)

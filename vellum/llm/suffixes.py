@@ -50,55 +50,54 @@ _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 str
 
 
 class Runs:
-    """Runs of some consecutive documents: document, first window, windows, anchor hash, context fingerprint."""
+    """Runs of some consecutive documents: document, first byte in the block, windows, anchor hash, context fingerprint.
+
+    Long texts are worked on a stretch of STEP_BYTES windows at a time; a stretch's end also ends a run."""
 
     def __init__(self, texts: tokens.Texts):
-        data = np.concatenate([texts.data, np.zeros(8, np.uint8)])
         n = len(texts.data)
-        m = n - GRAM + 1
-        empty = np.zeros(0, np.int64)
-        self.doc = self.start = self.count = empty
-        self.anchor = self.name = np.zeros(0, np.uint64)
-        if n < LENGTH:
-            return
-        word = np.ndarray(n + 1, "<u8", data, 0, (1,))
+        parts = [self._stretch(texts, a, min(a + tokens.STEP_BYTES, n - LENGTH + 1)) for a in range(0, n - LENGTH + 1, tokens.STEP_BYTES)]
+        empty = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2
+        self.begin, self.count, self.anchor, self.name = (np.concatenate(x) for x in zip(empty, *parts, strict=True))
+
+    @staticmethod
+    def _stretch(texts: tokens.Texts, low: int, high: int) -> list[np.ndarray]:
+        """begin, count, anchor, name of the runs of the windows that start in [low, high)."""
+        data = texts.data[low : high + LENGTH - 1]
+        m = len(data) - GRAM + 1
+        word = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
         h = word[:m] * np.uint64(0x9E3779B97F4A7C15)
         for at in (8, 16, GRAM - 8):
             h ^= h >> np.uint64(29)
             h = (h + word[at : at + m]) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
         # least hash of each SPAN consecutive ones and its leftmost place, by doubling
-        low, at, width = h, np.arange(m, dtype=np.int32), 1
+        least, at, width = h, np.arange(m, dtype=np.int32), 1
         while width * 2 <= SPAN:
-            left = low[:-width] <= low[width:]
-            low, at = np.where(left, low[:-width], low[width:]), np.where(left, at[:-width], at[width:])
+            left = least[:-width] <= least[width:]
+            least, at = np.where(left, least[:-width], least[width:]), np.where(left, at[:-width], at[width:])
             width *= 2
         if (rest := SPAN - width) > 0:
-            at = np.where(low[:-rest] <= low[rest:], at[:-rest], at[rest:])
-        # windows within one document
-        size = np.diff(texts.offsets)
-        whole = np.maximum(size - LENGTH + 1, 0)
+            at = np.where(least[:-rest] <= least[rest:], at[:-rest], at[rest:])
+        # windows within one document; the first one of a document starts a run, even right after the last of another
+        first = np.clip(texts.offsets[:-1] - low, 0, len(at))
+        bound = np.clip(texts.offsets[1:] - LENGTH + 1 - low, 0, len(at))
+        first, bound = first[bound > first], bound[bound > first]
         inside = np.zeros(len(at) + 1, np.int8)
-        first = texts.offsets[:-1][whole > 0]
         np.add.at(inside, first, 1)
-        np.add.at(inside, first + whole[whole > 0], -1)
+        np.add.at(inside, bound, -1)
         valid = np.cumsum(inside[:-1]) > 0
         new = valid.copy()
         new[1:] &= ~valid[:-1] | (at[1:] != at[:-1])
-        # the first window of a document starts a run, even when it follows the last one of the document before
         new[first] = True
         begin = np.flatnonzero(new)
-        bound = np.append(begin[1:], len(at))
-        doc = np.searchsorted(texts.offsets, begin, "right") - 1
-        end = np.minimum(bound, texts.offsets[doc] + whole[doc])
-        self.doc, self.start, self.count = doc, begin - texts.offsets[doc], end - begin
-        self.begin = begin
-        self.anchor = tokens.mix(h[at[begin]])
-        stop = end - 1 + LENGTH
-        self.name = tokens.mix(tokens.span_hashes(texts.data, begin, stop) + (at[begin] - begin).astype(np.uint64))
+        end = np.minimum(np.append(begin[1:], len(at)), bound[np.searchsorted(first, begin, "right") - 1]) if len(begin) else begin
+        anchor = tokens.mix(h[at[begin]])
+        name = tokens.mix(tokens.span_hashes(data, begin, end - 1 + LENGTH) + (at[begin] - begin).astype(np.uint64))
+        return [begin + low, end - begin, anchor, name]
 
     def __len__(self) -> int:
-        return len(self.doc)
+        return len(self.begin)
 
 
 def _packed(table: pa.Table):
