@@ -26,9 +26,9 @@ from . import features, tokens
 
 FOLDS = 5
 #: Rows on posterior labels that the classifier is trained on.
-SAMPLE = 20000
+SAMPLE = 12000
 #: Labelled rows that lexicons are induced from.
-LABELLED = 8000
+LABELLED = 6000
 #: Toxic rows that an induced entry needs, and the clean rows it may have for each of them.
 LEAST, IMPURE = 6, 0.05
 #: Columns of the classifier that may have a weight.
