@@ -38,7 +38,7 @@ MODULUS = 31
 # A perfect difference set modulo 31.
 COVER = (1, 5, 11, 24, 25, 27)
 #: Windows that one block sorts at a time.
-BLOCK_WINDOWS = 400_000
+BLOCK_WINDOWS = 200_000
 #: Bytes of shuffled entries that one bucket task is planned to hold.
 BUCKET_BYTES = 8 << 20
 
