@@ -21,11 +21,10 @@ DIALECTS = {
 VIEWS = {
     # cells of machine-read tables: a book is ten suppliers' pages, an order is a table, a line item a row
     "v_cells": """
-        SELECT book, page, table_no, row_no, col_no, row_number() OVER (PARTITION BY page ORDER BY table_no, row_no, col_no) AS pos, text
-        FROM (
-            SELECT book, page, table_no, row_no, 1 AS col_no, concat('.', lpad(CAST(q * 7 % 1000 AS STRING), 3, '0')) AS text FROM v_rows
-            UNION ALL SELECT book, page, table_no, row_no, 2, concat(CAST(q AS STRING), '/', CAST(row_no + 1 AS STRING)) FROM v_rows
-            UNION ALL SELECT book, page, table_no, row_no, 3, CASE WHEN q % 11 = 0 THEN '' ELSE concat(flag, status) END FROM v_rows) c""",
+        SELECT book, page, table_no, row_no, col_no, row_number() OVER (PARTITION BY page ORDER BY table_no, row_no, col_no) AS pos,
+               CASE col_no WHEN 1 THEN concat('.', lpad(CAST(q * 7 % 1000 AS STRING), 3, '0')) WHEN 2 THEN concat(CAST(q AS STRING), '/', CAST(row_no + 1 AS STRING))
+                           ELSE CASE WHEN q % 11 = 0 THEN '' ELSE concat(flag, status) END END AS text
+        FROM v_rows CROSS JOIN (VALUES (1), (2), (3)) AS k(col_no)""",
     "v_rows": """
         SELECT CAST(l_suppkey % 10 AS INT) AS book, l_suppkey AS page, l_orderkey AS table_no, l_returnflag AS flag, l_linestatus AS status, CAST(l_quantity AS INT) AS q,
                CAST(row_number() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax) AS INT) AS row_no
