@@ -210,6 +210,7 @@ def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
     """a, b, similarity: verified pairs of a key's first document and another one; reps: rep, keys."""
     keyed = reps.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("k"), "a")
+    first = written(first, "firsts")  # read from files, the side of a hot key is one that Spark can split
     pairs = keyed.join(first, F.col("key") == F.col("k")).where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
     text = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     # joins on ids, whose hot sides Spark splits: a document that very many resemble is read by many tasks
@@ -231,7 +232,7 @@ def classes(documents: DataFrame) -> DataFrame:
     roots = components(found.select("a", "b").unionByName(torn))
     rooted = members.join(roots, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("root", "rep").alias("class_id")).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     rooted = written(rooted, "classes")
-    size = rooted.groupBy(F.col("class_id").alias("c")).agg(F.count(F.lit(1)).alias("class_size"))
+    size = written(rooted.groupBy(F.col("class_id").alias("c")).agg(F.count(F.lit(1)).alias("class_size")), "sizes")
     ends = found.select(F.col("a").alias("d")).unionByName(found.select(F.col("b").alias("d"))).groupBy("d").agg(F.count(F.lit(1)).alias("n_links"))
     return rooted.join(size, F.col("class_id") == F.col("c")).join(ends, F.col("doc_id") == F.col("d"), "left").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
