@@ -100,24 +100,36 @@ class Runs:
         return len(self.begin)
 
 
-def _packed(table: pa.Table):
+def _packed(table: pa.Table) -> list[tuple[tokens.Texts, Runs, int]]:
     """Blocks of a chunk's texts with their runs and the chunk's number of the first of them."""
-    number = 0
+    out, number = [], 0
     for texts in tokens.steps(table["text"]):
         runs = Runs(texts)
-        yield texts, runs, number
+        out.append((texts, runs, number))
         number += len(runs)
+    return out
+
+
+def _first_in_chunk(packed: list[tuple[tokens.Texts, Runs, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor and name of a chunk's runs, and whether each is the first of its anchor and name in the chunk."""
+    anchor, name = (np.concatenate([getattr(r, k) for _, r, _ in packed]) for k in ("anchor", "name"))
+    order = np.lexsort((name, anchor))  # stable: equal runs stay in document order
+    first = np.ones(len(order), bool)
+    first[order[1:]] = (anchor[order[1:]] != anchor[order[:-1]]) | (name[order[1:]] != name[order[:-1]])
+    return anchor, name, first
 
 
 def _entries(buckets: int):
+    """The first run of each context in a chunk; later ones are known to be repeats, so a passage of very many documents
+    sends one entry per chunk."""
+
     def run(table: pa.Table) -> pa.Table:
         route = table["route"][0].as_py()
-        table = in_order(table.select(["doc_id", "text"]))
-        parts = [(r.anchor, r.name) for _, r, _ in _packed(table)]
-        anchor, name = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        bucket = (anchor % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        anchor, name, first = _first_in_chunk(_packed(in_order(table.select(["doc_id", "text"]))))
+        kept = np.flatnonzero(first)
+        bucket = (anchor[kept] % np.uint64(buckets)).astype(np.int32)
+        order = kept[np.argsort(bucket, kind="stable")]
+        cut = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
         rows = [(b, order[cut[b] : cut[b + 1]]) for b in range(buckets) if cut[b] < cut[b + 1]]
         return pa.table(
             [pa.array([b for b, _ in rows], pa.int32()), pa.array([route] * len(rows), pa.int32()), pa.array([anchor[i].tobytes() for _, i in rows], pa.binary()),
@@ -299,14 +311,17 @@ def _cut(left: pa.Table, right: pa.Table) -> pa.Table:
     if len(left):
         table = in_order(left.select(["doc_id", "text"]))
         ids = table["doc_id"].to_pylist()
-        repeats = np.sort(_joined(right["repeats"], np.uint32)) if len(right) else np.zeros(0, np.uint32)
+        repeats = _joined(right["repeats"], np.uint32) if len(right) else np.zeros(0, np.uint32)
         marks = [_joined(right[n], np.uint32) if len(right) else np.zeros(0, np.uint32) for n in ("run", "low", "high")]
         order = np.argsort(marks[0], kind="stable")
         marks = [m[order].astype(np.int64) for m in marks]
-        for texts, runs, number in _packed(table):
+        packed = _packed(table)
+        repeated = ~_first_in_chunk(packed)[2]
+        repeated[repeats] = True
+        for texts, runs, number in packed:
             n = len(texts.data)
             delta = np.zeros(n + 1, np.int32)
-            own = repeats[np.searchsorted(repeats, number) : np.searchsorted(repeats, number + len(runs))].astype(np.int64) - number
+            own = np.flatnonzero(repeated[number : number + len(runs)])
             low, high = ([], [])
             if len(own):
                 low.append(runs.begin[own])
