@@ -82,7 +82,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     run = Window.partitionBy("source").orderBy("__bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     over = sums.withColumn("__upto", F.sum("__words").over(run)).where(F.col("__upto") > F.col("__need"))
     last = over.groupBy("source").agg(F.min(F.struct("__bin", (F.col("__upto") - F.col("__words")).alias("before"))).alias("__l"))
-    last = last.select(F.col("source").alias("__s"), F.col("__l.__bin").alias("__last"), F.col("__l.before").alias("__before"))
+    last = written(last.select(F.col("source").alias("__s"), F.col("__l.__bin").alias("__last"), F.col("__l.before").alias("__before")), "limits")
     order = Window.partitionBy("source").orderBy("__rank", "__k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = _with(rows, last).where("__bin = __last").withColumn("__rank", rank).withColumn("__sum", F.col("__before") + F.sum("size").over(order))
     # the first document that doesn't fit, and the words still wanted before it
@@ -91,7 +91,7 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     # of the documents from there on, the one whose size is nearest to those words fills the place
     miss = F.abs(F.col("size") - F.col("__rest"))
     fill = _with(sized, stop).where((F.col("__k") >= F.col("__stop")) & (miss < F.col("__rest"))).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "__k")).alias("__f"))
-    fill = fill.select(F.col("source").alias("__s"), F.col("__f.__k").alias("__fill"))
+    fill = written(fill.select(F.col("source").alias("__s"), F.col("__f.__k").alias("__fill")), "fills")
 
     out = _with(_with(_with(docs, plan), stop, "left"), fill, "left")
     more = (F.col("__p") > 0) & (F.col("__stop").isNull() | (F.col("__k") < F.col("__stop")) | F.coalesce(F.col("__k") == F.col("__fill"), F.lit(False)))
@@ -100,8 +100,9 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
 
 
 def _with(rows: DataFrame, per_source: DataFrame, how: str = "inner") -> DataFrame:
-    """Join a table of one row per source (bounded by the number of sources)."""
-    return rows.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("__s")), how).drop("__s")
+    """Join a table of one row per source. Such tables are read from files, so their size is known: Spark broadcasts them
+    below its limit and shuffles them beyond it."""
+    return rows.join(per_source, F.col("source").eqNullSafe(F.col("__s")), how).drop("__s")
 
 
 def report(documents: DataFrame) -> DataFrame:
