@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -36,8 +37,7 @@ def texts(seed):
 
 
 def test_against_brute_force(spark, monkeypatch):
-    for seed, chunk, block in ((1, 1 << 20, 400_000), (2, 3000, 700)):
-        monkeypatch.setattr(suffixes, "BLOCK_WINDOWS", block)
+    for seed, chunk in ((1, 1 << 20), (2, 3000)):
         monkeypatch.setattr(suffixes, "dealt", lambda d, c=chunk: chunks.dealt(d, c))
         rows = texts(seed)
         got = suffixes.report(cases.documents(spark, rows)).collect()
@@ -70,11 +70,30 @@ def test_suffix_order_finds_equal_windows(parts, seed):
     assert suffixes.first_equal(text, windows).tolist() == want
 
 
-def test_stretches_of_a_long_text_give_the_same_result(spark, monkeypatch):
-    rows = texts(5)
-    monkeypatch.setattr(suffixes.tokens, "STEP_BYTES", 400)
-    got = suffixes.report(cases.documents(spark, rows)).collect()
-    assert sorted(map(tuple, got), key=str) == brute(rows)
+def in_process(rows, buckets=3):
+    """The steps of report() on one chunk, in this process, where constants can be changed."""
+    left = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] or "" for r in rows], "route": pa.array([0] * len(rows), pa.int32())})
+
+    def by_bucket(table, step):
+        return pa.concat_tables([step(table.filter(pa.array([v == b for v in table["bucket"].to_pylist()]))) for b in sorted(set(table["bucket"].to_pylist()))])
+
+    replies = by_bucket(suffixes._entries(buckets)(left), suffixes._match)
+    opened = suffixes._contexts(buckets)(left, replies)
+    none = pa.array([b""] * len(replies))
+    parts = [pa.table({"repeats": replies["repeats"], "run": none, "low": none, "high": none})]
+    if len(opened):
+        marks = by_bucket(opened, suffixes._sort_blocks)
+        parts.append(pa.table({"repeats": pa.array([b""] * len(marks)), "run": marks["run"], "low": marks["low"], "high": marks["high"]}))
+    out = suffixes._cut(left, pa.concat_tables(parts))
+    return sorted(zip(*(out[c].to_pylist() for c in out.column_names), strict=True), key=str)
+
+
+def test_stretches_and_blocks_of_any_size_give_the_same_result(monkeypatch):
+    for step, block, seed in ((1 << 20, 200_000, 5), (400, 500, 5), (173, 1, 6), (5000, 3000, 7)):
+        monkeypatch.setattr(suffixes.tokens, "STEP_BYTES", step)
+        monkeypatch.setattr(suffixes.tokens.steps, "__defaults__", (step * 3, 1 << 14))
+        monkeypatch.setattr(suffixes, "BLOCK_WINDOWS", block)
+        assert in_process(texts(seed)) == brute(texts(seed))
 
 
 def test_hashes_of_spans_do_not_depend_on_stretches(monkeypatch):
