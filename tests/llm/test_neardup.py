@@ -110,6 +110,39 @@ def test_large_group_of_copies_gives_one_class(spark):
     assert neardup.keep_first(cases.documents(spark, rows)).count() == 1
 
 
+@pytest.mark.parametrize("each", [8, 0])
+def test_any_two_texts_of_a_key_are_compared_or_joined(spark, monkeypatch, each):
+    monkeypatch.setattr(neardup, "EACH", each, raising=False)
+    rng = random.Random(9)
+    rows = []
+    for f in range(12):
+        base = cases.prose(300 + f, 100)
+        rows += [edited(base, rng, 4 * k) for k in range(rng.choice([1, 2, 5]))]
+    rng.shuffle(rows)
+    keys = [sorted(rng.sample(range(4), 2)) for _ in rows]
+    reps = spark.createDataFrame([(i, len(hashes(t)) - 4, keys[i]) for i, t in enumerate(rows)], "rep long, n long, keys array<long>")
+    found = neardup.links(cases.documents(spark, list(enumerate(rows))), reps)
+    got = {r.node: r.root for r in graph.components(found.select("a", "b")).collect()}
+    parent = list(range(len(rows)))
+
+    def root(d):
+        return d if parent[d] == d else root(parent[d])
+
+    for b in range(len(rows)):
+        for a in range(b):
+            if set(keys[a]) & set(keys[b]) and neardup.similarity(hashes(rows[a]), hashes(rows[b])):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert {d: got.get(d, d) for d in range(len(rows))} == {d: root(d) for d in range(len(rows))}
+
+
+def test_texts_that_a_keys_first_one_does_not_resemble(spark):
+    base = cases.prose(2, 100)
+    rows = [(1, cases.prose(1, 100)), (2, base), (3, edited(base, random.Random(3), 1))]
+    reps = spark.createDataFrame([(d, len(hashes(t)) - 4, [7]) for d, t in rows], "rep long, n long, keys array<long>")
+    assert {(r.a, r.b) for r in neardup.links(cases.documents(spark, rows), reps).collect()} == {(2, 3)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     nodes = list(range(200))

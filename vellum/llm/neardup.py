@@ -2,9 +2,10 @@
 
 A text's five-word shingles are labelled with their occurrence number, and each of BANDS hash functions takes the
 MINIMA labelled shingles of least hash; those, in text order, make one key of the text. Texts share a key only where
-the same shingles come in the same order, so keys follow edit similarity. Texts of one key are compared with its
-first document only; a pair is a link if a banded alignment of their words (greedy difference algorithm, band set by
-the threshold) leaves at least SIMILARITY of their shingles matched. Links make classes.
+the same shingles come in the same order, so keys follow edit similarity. A pair is a link if a banded alignment of
+their words (greedy difference algorithm, band set by the threshold) leaves at least SIMILARITY of their shingles
+matched. Links make classes. Texts of one key are compared with its first document, then with one another where links
+do not join them yet: in the end any two texts of a key are compared or in one class.
 
 Exact copies (same words) are one text from the start. Rows that share a doc_id are one document. Texts of fewer
 than five words are one shingle. Texts without words are copies only of texts with the same bytes; null is the empty
@@ -31,7 +32,9 @@ SIMILARITY = 0.8
 BANDS, MINIMA = 20, 3
 #: Differences beyond which unique shared shingles align two texts instead of the band.
 WIDEST = 256
-_SKETCH = "doc_id long, sig binary, keys array<long>"
+#: Pairs left for each text of a key up to which all are compared at once, and turns of single texts before that.
+EACH, TURNS = 8, 3
+_SKETCH = "doc_id long, sig binary, n long, keys array<long>"
 
 
 def occurrence_labels(values: np.ndarray) -> np.ndarray:
@@ -68,19 +71,21 @@ def _keys_from(labelled: np.ndarray) -> np.ndarray:
 def _sketch(batches):
     for batch in batches:
         for texts in tokens.steps(batch.column("text")):
-            w, sig, keys = tokens.words(texts), [], []
+            w, sig, n, keys = tokens.words(texts), [], [], []
             cut = w.first.tolist()
             for i in range(len(texts)):
                 own = w.hash[cut[i] : cut[i + 1]]
                 if not len(own):
                     sig.append(hashlib.md5(b"bytes" + texts.raw(i)).digest())
+                    n.append(0)
                     keys.append([])
                     continue
                 sig.append(hashlib.md5(own.tobytes()).digest())
                 s = shingles_of(own)
+                n.append(len(s))
                 keys.append(_keys_from(tokens.mix(s + occurrence_labels(s).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))).view(np.int64))
             part = batch.slice(texts.first, len(texts))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "keys"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "n", "keys"])
 
 
 def matched_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int, int]] | None:
@@ -201,17 +206,13 @@ def _verify(batches):
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """doc_id, sig (of the words), keys."""
+    """doc_id, sig (of the words), n (shingles), keys."""
     docs = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return docs.mapInArrow(_sketch, _SKETCH)
 
 
-def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """a, b, similarity: verified pairs of a key's first document and another one; reps: rep, keys."""
-    keyed = reps.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
-    first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("k"), "a")
-    first = written(first, "firsts")  # read from files, the side of a hot key is one that Spark can split
-    pairs = keyed.join(first, F.col("key") == F.col("k")).where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
+    """a, b, similarity of those pairs (a, b) that are links."""
     text = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     # joins on ids, whose hot sides Spark splits: a document that very many resemble is read by many tasks
     with_b = pairs.join(text, F.col("b") == F.col("id")).select("a", "b", F.col("text").alias("text_b"))
@@ -219,12 +220,55 @@ def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long, similarity double")
 
 
+def _across(open_: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs a < b of a key's texts that no links join and whose numbers of shingles can reach SIMILARITY."""
+    other = others.select(F.col("key").alias("k"), F.col("rep").alias("r"), F.col("part").alias("p"), F.col("n").alias("m"))
+    near = F.least("n", "m") >= SIMILARITY * F.greatest("n", "m") - 1e-9
+    met = open_.join(other, (F.col("key") == F.col("k")) & (F.col("part") != F.col("p")) & (F.col("rep") != F.col("r")) & near)
+    return met.select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
+
+
+def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
+    """a, b, similarity: verified pairs that share a key; reps: rep, n, keys. Every pair of a key is compared, or other
+    links join it.
+
+    Pairs with a key's first document come first. What they leave in several parts is paired across parts: texts
+    outside of the key's largest part with all others, once that is few pairs a text. Before, for up to TURNS turns,
+    one text of the largest part and one outside of it meet the others, so that large groups grow together."""
+    keyed = reps.select("rep", "n", F.explode(F.array_distinct("keys")).alias("key"))
+    first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("k"), "a")
+    first = written(first, "firsts")  # read from files, the side of a hot key is one that Spark can split
+    shared = written(keyed.join(first, F.col("key") == F.col("k")).select("key", "rep", "n", "a"), "shared")
+    found = written(_verified(shared.where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), documents), "links")
+    for turn in range(TURNS + 1):
+        roots = components(found.select("a", "b"))
+        placed = written(shared.join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part")), "placed")
+        sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
+        several = sizes.groupBy("key").agg(F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("all")).where("parts > 1")
+        several = written(several.select(F.col("key").alias("k"), F.col("top.part").alias("main"), "all"), "several")
+        open_ = written(placed.join(several, F.col("key") == F.col("k")).select("key", "rep", "n", "part", (F.col("part") != F.col("main")).alias("out"), "all"), "open")
+        left = open_.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("out"), F.col("all"))).alias("pairs")).first()
+        if not left["rows"]:
+            return found
+        last = turn == TURNS or left["pairs"] <= EACH * left["rows"]
+        if last:
+            others = open_.where("out")
+        else:
+            one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "part", "n")).alias("one")
+            others = written(open_.groupBy("key", "out").agg(one).select("key", "one.rep", "one.part", "one.n"), "others")
+        more = _verified(_across(open_, others), documents)
+        found = written(found.unionByName(more).dropDuplicates(["a", "b"]), "links")
+        if last:
+            break
+    return found
+
+
 def classes(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (the class's least doc_id), class_size, n_links: one row per distinct doc_id."""
     known = written(sketches(documents), "sketches")
-    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     reps = written(by_sig, "reps")
-    found = written(links(documents, reps.select("rep", "keys")), "links")
+    found = links(documents, reps.select("rep", "n", "keys"))
     # rows that share a doc_id but not their words are joined into one document
     same = known.select("doc_id", "sig").join(reps.select(F.col("sig").alias("s"), "rep"), F.col("sig") == F.col("s")).select("doc_id", "rep").distinct()
     members = written(same, "members")
