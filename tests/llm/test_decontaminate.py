@@ -32,6 +32,16 @@ def test_against_brute_force(spark):
     }
 
 
+def test_blocks_keep_repeated_and_null_rows(spark):
+    bench = [(i, cases.prose(900 + i, 12), "") for i in range(6)]
+    a, b = bench[0][1], bench[5][1]
+    docs = cases.documents(spark, [(None, a), (None, b), (None, None), (1, a), (1, a), (1, b), (2, a + " " + b), (3, cases.prose(1, 40))])
+    digest = lambda df: sorted((str(r.doc_id), r.n_words, sorted(r.hits), r["items"]) for r in df.collect())
+    whole = digest(decontaminate.hits(docs, items(spark, bench)))
+    assert len(whole) == 8
+    assert digest(decontaminate.hits(docs, items(spark, bench), block_bytes=60)) == whole
+
+
 @pytest.mark.parametrize("bench", [[], [(1, None, "")], [(1, cases.prose(10, 12), "")]])
 def test_awkward(spark, bench):
     b = items(spark, bench or [(1, "", "")]).limit(len(bench))

@@ -13,6 +13,7 @@ Defined results: a null text has no words; an empty benchmark hits nothing; item
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .store import written
 
 WINDOW = 10
 #: Bytes of benchmark text that one search holds. A larger benchmark is searched in blocks of this size.
@@ -177,9 +179,10 @@ def _search(items: list[tuple[str, str]]):
                     rows["hits"].append(np.flatnonzero(hit[a:b]).tolist() if i in owned else [])
                     rows["items"].append(sorted(owned.get(i, ())))
                 part = batch.slice(texts.first, len(texts))
+                names = [n for n in part.schema.names if n != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(rows["n_words"], pa.int64()), pa.array(rows["hits"], pa.list_(pa.int32())), pa.array(rows["items"], pa.list_(pa.string()))],
-                    names=["doc_id", *rows],
+                    [*(part.column(n) for n in names), pa.array(rows["n_words"], pa.int64()), pa.array(rows["hits"], pa.list_(pa.int32())), pa.array(rows["items"], pa.list_(pa.string()))],
+                    names=[*names, *rows],
                 )
 
     return run
@@ -214,18 +217,22 @@ def _blocks(benchmark: DataFrame, limit: int):
 def hits(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, hits (word positions inside an occurrence), items (item_ids with occurring windows)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = [docs.mapInArrow(_search(block), _SCHEMA) for block in _blocks(benchmark, block_bytes)] or [docs.mapInArrow(_search([]), _SCHEMA)]
-    if len(parts) == 1:
-        return parts[0]
-    # blocks of a large benchmark: each block sees every row once, so repeated rows keep their number
+    blocks = _blocks(benchmark, block_bytes)
+    block, after = next(blocks, []), next(blocks, None)
+    if after is None:
+        return docs.mapInArrow(_search(block), _SCHEMA)
+    # blocks of a large benchmark: rows are numbered and written, so that each keeps its number in the search of every block
+    docs = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    parts = [docs.select("row", "doc_id", "text").mapInArrow(_search(b), "row long, " + _SCHEMA) for b in chain([block, after], blocks)]
     out = None
     for p in parts:
         out = p if out is None else out.unionByName(p)
-    return out.groupBy("doc_id").agg(
+    merged = out.groupBy("row", "doc_id").agg(
         F.max("n_words").alias("n_words"),
         F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
+    return merged.drop("row")
 
 
 def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
