@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vellum.llm import graph, neardup, tokens
+from vellum.llm import alignment, graph, neardup, tokens
 
 from . import cases
 
@@ -54,7 +54,7 @@ def test_alignment_is_a_longest_common_subsequence(seed, n, edits):
     a = cases.prose(seed, n).replace(".", "")
     b = edited(a, rng, edits)
     x, y = hashes(a), hashes(b)
-    runs = neardup.matched_runs(x, y, len(x) + len(y))
+    runs = alignment.matched_runs(x, y, len(x) + len(y))
     for p, q, k in runs:
         assert (x[p : p + k] == y[q : q + k]).all()
     u, v = a.split(), b.split()
@@ -143,6 +143,46 @@ def test_texts_that_a_keys_first_one_does_not_resemble(spark):
     assert {(r.a, r.b) for r in neardup.links(cases.documents(spark, rows), reps).collect()} == {(2, 3)}
 
 
+def test_long_texts_of_repeated_lines_are_linked():
+    lines = [cases.prose(i, 10).replace(".", "").split() for i in range(100)]
+    a = [w for i in range(2000) for w in lines[i % 100]]
+    b, rng = list(a), random.Random(4)
+    for i in rng.sample(range(len(b)), 420):
+        b[i] = "zzz"
+    assert len(a) == 20000 and neardup.similarity(hashes(" ".join(a)), hashes(" ".join(b))) >= 0.8
+
+
+@pytest.mark.parametrize("kept", [4000, 3])
+def test_alignment_in_halves_is_as_long(monkeypatch, kept):
+    monkeypatch.setattr(alignment, "KEPT", kept)
+    for seed in range(200):
+        rng = random.Random(seed)
+        a = [rng.randrange(rng.choice([2, 5, 1000])) for _ in range(rng.randint(0, 50))]
+        b = list(a)
+        for _ in range(rng.randint(0, 20)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.choice([0, 1, 2])] = [rng.randrange(5) for _ in range(rng.choice([0, 1, 2]))]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        differences = len(a) + len(b) - 2 * best[-1][-1]
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        assert sum(n for _, _, n in alignment.matched_runs(x, y, differences)) == best[-1][-1]
+        assert not differences or alignment.matched_runs(x, y, differences - 1) is None
+
+
+def test_groups_of_many_unlike_texts_are_divided_by_other_keys(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "EACH", 2)
+    rng = random.Random(6)
+    rows = [cases.prose(700 + i, 60) for i in range(40)]
+    rows += [edited(t, rng, 1) for t in rows[30:]]
+    keys = [[1, 2, *([3] if i % 2 else []), 100 + i - i // 40 * 10] for i in range(len(rows))]
+    reps = spark.createDataFrame([(i, len(hashes(t)) - 4, keys[i]) for i, t in enumerate(rows)], "rep long, n long, keys array<long>")
+    got = {(r.a, r.b) for r in neardup.links(cases.documents(spark, list(enumerate(rows))), reps, 3).collect()}
+    assert got == {(30 + i, 40 + i) for i in range(10)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     nodes = list(range(200))

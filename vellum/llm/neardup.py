@@ -3,9 +3,9 @@
 A text's five-word shingles are labelled with their occurrence number, and each of BANDS hash functions takes the
 MINIMA labelled shingles of least hash; those, in text order, make one key of the text. Texts share a key only where
 the same shingles come in the same order, so keys follow edit similarity. A pair is a link if a banded alignment of
-their words (greedy difference algorithm, band set by the threshold) leaves at least SIMILARITY of their shingles
-matched. Links make classes. Texts of one key are compared with its first document, then with one another where links
-do not join them yet: in the end any two texts of a key are compared or in one class.
+their words (greedy difference algorithm, band set by the threshold at every length) leaves at least SIMILARITY of
+their shingles matched. Links make classes. Texts of one key are compared with its first document, then with one another
+where links do not join them yet: in the end any two texts that share SHARED keys are compared or in one class.
 
 Exact copies (same words) are one text from the start. Rows that share a doc_id are one document. Texts of fewer
 than five words are one shingle. Texts without words are copies only of texts with the same bytes; null is the empty
@@ -15,7 +15,6 @@ text. A null doc_id is in no class (class_id null, class_size 1). Extra columns
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
+from .alignment import matched_runs
 from .graph import components
 from .store import written
 
@@ -30,10 +30,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: A pair at the threshold shares a key of 3 minima with a chance of about one half: 20 keys miss one pair in a million.
 BANDS, MINIMA = 20, 3
-#: Differences beyond which unique shared shingles align two texts instead of the band.
-WIDEST = 256
-#: Pairs left for each text of a key up to which all are compared at once, and turns of single texts before that.
-EACH, TURNS = 8, 3
+#: Keys that a compared pair shares. At the threshold 20 keys of chance one half give two or fewer once in 5,000 pairs.
+SHARED = 3
+#: Texts outside of a group's largest part up to which all of them are compared with all of the group at once, and
+#: turns of single texts before that.
+EACH, TURNS = 8, 2
 _SKETCH = "doc_id long, sig binary, n long, keys array<long>"
 
 
@@ -88,79 +89,6 @@ def _sketch(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "n", "keys"])
 
 
-def matched_runs(a: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int, int]] | None:
-    """Runs (x, y, length) of equal words in the best alignment of a and b, or None beyond `most` insertions and deletions.
-
-    The band is the diagonals within `most` of the main one; furthest points are kept per number of differences."""
-    n, m = len(a), len(b)
-
-    def slide(x: int, y: int) -> int:
-        step = 16
-        while x < n and y < m:
-            k = min(step, n - x, m - y)
-            differ = a[x : x + k] != b[y : y + k]
-            if (at := int(differ.argmax())) or differ[0]:
-                return x + at
-            x, y, step = x + k, y + k, step * 4
-        return x
-
-    reach, history = {1: 0}, []
-    for d in range(most + 1):
-        history.append(reach)
-        now = {}
-        for k in range(-d, d + 1, 2):
-            if k == -d or (k != d and reach.get(k - 1, -1) < reach.get(k + 1, -1)):
-                x = reach.get(k + 1, -1)
-            else:
-                x = reach.get(k - 1, -1) + 1
-            y = x - k
-            if x > n or y > m or x < 0 or y < 0:
-                continue
-            now[k] = x = slide(x, y)
-            if x >= n and x - k >= m:
-                break
-        reach = now
-        if reach.get(n - m, -1) >= n:
-            break
-    else:
-        return None
-    runs, k, x = [], n - m, n
-    for d in range(len(history) - 1, -1, -1):
-        before = history[d]
-        if d == 0:
-            runs.append((0, 0, x))
-            break
-        down = k == -d or (k != d and before.get(k - 1, -1) < before.get(k + 1, -1))
-        start = before.get(k + 1, -1) if down else before.get(k - 1, -1) + 1
-        runs.append((start, start - k, x - start))
-        x = before.get(k + 1, -1) if down else before.get(k - 1, -1)
-        k = k + 1 if down else k - 1
-    return [r for r in runs[::-1] if r[2]]
-
-
-def anchored_pairs(sa: np.ndarray, sb: np.ndarray) -> list[tuple[int, int]]:
-    """The longest common order of the shingles that are unique in either text and shared: their places in both."""
-    ua, ia, ca = np.unique(sa, return_index=True, return_counts=True)
-    ub, ib, cb = np.unique(sb, return_index=True, return_counts=True)
-    _, x, y = np.intersect1d(ua[ca == 1], ub[cb == 1], return_indices=True)
-    at, to = ia[ca == 1][x], ib[cb == 1][y]
-    order = np.argsort(at)
-    at, to = at[order].tolist(), to[order].tolist()
-    tails: list[int] = []
-    last: list[int] = []
-    back = [-1] * len(to)
-    for i, v in enumerate(to):
-        j = bisect_left(tails, v)
-        tails[j : j + 1] = [v]
-        last[j : j + 1] = [i]
-        back[i] = last[j - 1] if j else -1
-    out, i = [], last[-1] if last else -1
-    while i >= 0:
-        out.append((at[i], to[i]))
-        i = back[i]
-    return out[::-1]
-
-
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Share of shingles that the alignment of two word sequences matches, or 0.0 where it can't reach `least`."""
     if np.array_equal(a, b):
@@ -178,13 +106,9 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     if np.minimum(ca[x], cb[y]).sum() < need - 1e-9:  # no alignment matches more shingles than the texts share
         return 0.0
     most = int(len(a) + len(b) - 2 * (need + SHINGLE - 1) + 1e-6)
-    runs = matched_runs(a, b, max(0, min(most, WIDEST)))
-    if runs is not None:
-        matched = sum(max(0, n - SHINGLE + 1) for _, _, n in runs)
-    elif most > WIDEST:
-        matched = len(anchored_pairs(sa, sb))
-    else:
+    if (runs := matched_runs(a, b, max(0, most))) is None:
         return 0.0
+    matched = sum(max(0, n - SHINGLE + 1) for _, _, n in runs)
     value = matched / (total - matched)
     return value if value >= least - 1e-12 else 0.0
 
@@ -220,6 +144,16 @@ def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long, similarity double")
 
 
+def _plausible(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Those pairs (a, b) that share at least `least` keys, before any text is fetched."""
+    if least < 2:
+        return pairs
+    keys = reps.groupBy("rep").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    a, b = (keys.select(F.col("rep").alias(f"{x}_id"), F.col("keys").alias(f"{x}_keys")) for x in "ab")
+    met = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id"))
+    return met.where(F.size(F.array_intersect("a_keys", "b_keys")) >= least).select("a", "b")
+
+
 def _across(open_: DataFrame, others: DataFrame) -> DataFrame:
     """Pairs a < b of a key's texts that no links join and whose numbers of shingles can reach SIMILARITY."""
     other = others.select(F.col("key").alias("k"), F.col("rep").alias("r"), F.col("part").alias("p"), F.col("n").alias("m"))
@@ -228,35 +162,63 @@ def _across(open_: DataFrame, others: DataFrame) -> DataFrame:
     return met.select(F.least("rep", "r").alias("a"), F.greatest("rep", "r").alias("b")).distinct()
 
 
-def links(documents: DataFrame, reps: DataFrame) -> DataFrame:
-    """a, b, similarity: verified pairs that share a key; reps: rep, n, keys. Every pair of a key is compared, or other
-    links join it.
+def _opened(placed: DataFrame) -> DataFrame:
+    """Texts (key, rep, n, part, of and any other columns) of the keys whose texts are in several parts; out: not in the
+    key's largest part; outs: texts of the key that are out."""
+    sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
+    several = sizes.groupBy("key").agg(F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("all")).where("parts > 1")
+    several = written(several.select(F.col("key").alias("k"), F.col("top.part").alias("main"), (F.col("all") - F.col("top.c")).alias("outs")), "several")
+    return written(placed.join(several, F.col("key") == F.col("k")).select(*placed.columns, (F.col("part") != F.col("main")).alias("out"), "outs"), "open")
+
+
+def _pairs_left(open_: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Pairs across parts of every key. A key with many texts outside of its largest part is first divided by the other
+    keys that its texts hold: a pair shares `least` keys, so it meets again in a smaller group."""
+    keys = reps.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys")).withColumnRenamed("rep", "keys_of")
+    open_ = open_.withColumn("of", F.array("key"))
+    pairs = None
+    for _ in range(least - 1):
+        small = open_.where(F.col("outs") <= EACH)
+        met = _across(small, small.where("out"))
+        pairs = met if pairs is None else pairs.unionByName(met)
+        large = open_.where(F.col("outs") > EACH)
+        if large.isEmpty():
+            return pairs.distinct()
+        more = large.join(keys, F.col("rep") == F.col("keys_of")).select("rep", "n", "part", "of", F.explode(F.array_except("keys", "of")).alias("and"))
+        more = more.select("rep", "n", "part", F.array_sort(F.array_append("of", F.col("and"))).alias("of")).distinct()
+        open_ = _opened(more.withColumn("key", F.xxhash64("of")))
+    met = _across(open_, open_.where("out"))
+    return met if pairs is None else pairs.unionByName(met).distinct()
+
+
+def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataFrame:
+    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys. Every such pair is compared, or
+    other links join it.
 
     Pairs with a key's first document come first. What they leave in several parts is paired across parts: texts
-    outside of the key's largest part with all others, once that is few pairs a text. Before, for up to TURNS turns,
-    one text of the largest part and one outside of it meet the others, so that large groups grow together."""
+    outside of the key's largest part with all others. Before, where that is many pairs, for up to TURNS turns one text of
+    the largest part and one outside of it meet the others, so that large groups grow together."""
     keyed = reps.select("rep", "n", F.explode(F.array_distinct("keys")).alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("k"), "a")
     first = written(first, "firsts")  # read from files, the side of a hot key is one that Spark can split
     shared = written(keyed.join(first, F.col("key") == F.col("k")).select("key", "rep", "n", "a"), "shared")
-    found = written(_verified(shared.where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), documents), "links")
+    starts = shared.where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    found = written(_verified(_plausible(starts, reps, least_shared), documents), "links")
     for turn in range(TURNS + 1):
         roots = components(found.select("a", "b"))
-        placed = written(shared.join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part")), "placed")
-        sizes = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
-        several = sizes.groupBy("key").agg(F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("parts"), F.sum("c").alias("all")).where("parts > 1")
-        several = written(several.select(F.col("key").alias("k"), F.col("top.part").alias("main"), "all"), "several")
-        open_ = written(placed.join(several, F.col("key") == F.col("k")).select("key", "rep", "n", "part", (F.col("part") != F.col("main")).alias("out"), "all"), "open")
-        left = open_.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("out"), F.col("all"))).alias("pairs")).first()
+        placed = shared.join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part"))
+        open_ = _opened(written(placed, "placed"))
+        left = open_.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("outs") > EACH, 1)).alias("large")).first()
         if not left["rows"]:
             return found
-        last = turn == TURNS or left["pairs"] <= EACH * left["rows"]
+        last = turn == TURNS or not left["large"]
         if last:
-            others = open_.where("out")
+            pairs = _pairs_left(open_, reps, least_shared)
         else:
             one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "part", "n")).alias("one")
             others = written(open_.groupBy("key", "out").agg(one).select("key", "one.rep", "one.part", "one.n"), "others")
-        more = _verified(_across(open_, others), documents)
+            pairs = _across(open_, others)
+        more = _verified(_plausible(pairs, reps, least_shared), documents)
         found = written(found.unionByName(more).dropDuplicates(["a", "b"]), "links")
         if last:
             break
@@ -268,7 +230,7 @@ def classes(documents: DataFrame) -> DataFrame:
     known = written(sketches(documents), "sketches")
     by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     reps = written(by_sig, "reps")
-    found = links(documents, reps.select("rep", "n", "keys"))
+    found = links(documents, reps.select("rep", "n", "keys"), SHARED)
     # rows that share a doc_id but not their words are joined into one document
     same = known.select("doc_id", "sig").join(reps.select(F.col("sig").alias("s"), "rep"), F.col("sig") == F.col("s")).select("doc_id", "rep").distinct()
     members = written(same, "members")
