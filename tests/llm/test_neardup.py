@@ -110,9 +110,20 @@ def test_large_group_of_copies_gives_one_class(spark):
     assert neardup.keep_first(cases.documents(spark, rows)).count() == 1
 
 
+def with_bins(spark, rows):
+    """reps of (rep, text, keys)."""
+    found = []
+    for rep, text, keys in rows:
+        s = neardup.shingles_of(hashes(text))
+        bins = neardup._bins_from(tokens.mix(s + neardup.occurrence_labels(s).astype(np.uint64) * np.uint64(3)))
+        found.append((rep, len(s), keys, bytearray(bins)))
+    return spark.createDataFrame(found, "rep long, n long, keys array<long>, bins binary")
+
+
 @pytest.mark.parametrize("each", [8, 0])
 def test_any_two_texts_of_a_key_are_compared_or_joined(spark, monkeypatch, each):
-    monkeypatch.setattr(neardup, "EACH", each, raising=False)
+    monkeypatch.setattr(neardup, "EACH", each)
+    monkeypatch.setattr(neardup, "BLOCK", 3)
     rng = random.Random(9)
     rows = []
     for f in range(12):
@@ -120,7 +131,7 @@ def test_any_two_texts_of_a_key_are_compared_or_joined(spark, monkeypatch, each)
         rows += [edited(base, rng, 4 * k) for k in range(rng.choice([1, 2, 5]))]
     rng.shuffle(rows)
     keys = [sorted(rng.sample(range(4), 2)) for _ in rows]
-    reps = spark.createDataFrame([(i, len(hashes(t)) - 4, keys[i]) for i, t in enumerate(rows)], "rep long, n long, keys array<long>")
+    reps = with_bins(spark, [(i, t, keys[i]) for i, t in enumerate(rows)])
     found = neardup.links(cases.documents(spark, list(enumerate(rows))), reps)
     got = {r.node: r.root for r in graph.components(found.select("a", "b")).collect()}
     parent = list(range(len(rows)))
@@ -139,7 +150,7 @@ def test_any_two_texts_of_a_key_are_compared_or_joined(spark, monkeypatch, each)
 def test_texts_that_a_keys_first_one_does_not_resemble(spark):
     base = cases.prose(2, 100)
     rows = [(1, cases.prose(1, 100)), (2, base), (3, edited(base, random.Random(3), 1))]
-    reps = spark.createDataFrame([(d, len(hashes(t)) - 4, [7]) for d, t in rows], "rep long, n long, keys array<long>")
+    reps = with_bins(spark, [(d, t, [7]) for d, t in rows])
     assert {(r.a, r.b) for r in neardup.links(cases.documents(spark, rows), reps).collect()} == {(2, 3)}
 
 
@@ -172,13 +183,27 @@ def test_alignment_in_halves_is_as_long(monkeypatch, kept):
         assert not differences or alignment.matched_runs(x, y, differences - 1) is None
 
 
+def test_sketches_do_not_rule_out_similar_texts():
+    for seed in range(300):
+        rng = random.Random(seed)
+        a = cases.prose(seed, rng.randint(8, 400))
+        b = edited(a, rng, rng.randint(0, 12))
+        if neardup.similarity(hashes(a), hashes(b)):
+            made = []
+            for t in (a, b):
+                s = neardup.shingles_of(hashes(t))
+                made.append(np.frombuffer(neardup._bins_from(tokens.mix(s + neardup.occurrence_labels(s).astype(np.uint64) * np.uint64(3))), np.uint8))
+            assert neardup.likely(made[0], made[1][None, :])[0]
+
+
 def test_groups_of_many_unlike_texts_are_divided_by_other_keys(spark, monkeypatch):
     monkeypatch.setattr(neardup, "EACH", 2)
+    monkeypatch.setattr(neardup, "WIDE", 5)
     rng = random.Random(6)
     rows = [cases.prose(700 + i, 60) for i in range(40)]
     rows += [edited(t, rng, 1) for t in rows[30:]]
     keys = [[1, 2, *([3] if i % 2 else []), 100 + i - i // 40 * 10] for i in range(len(rows))]
-    reps = spark.createDataFrame([(i, len(hashes(t)) - 4, keys[i]) for i, t in enumerate(rows)], "rep long, n long, keys array<long>")
+    reps = with_bins(spark, [(i, t, keys[i]) for i, t in enumerate(rows)])
     got = {(r.a, r.b) for r in neardup.links(cases.documents(spark, list(enumerate(rows))), reps, 3).collect()}
     assert got == {(30 + i, 40 + i) for i in range(10)}
 

@@ -32,15 +32,17 @@ SIMILARITY = 0.8
 BANDS, MINIMA = 20, 3
 #: Keys that a compared pair shares. At the threshold 20 keys of chance one half give two or fewer once in 5,000 pairs.
 SHARED = 3
-#: Texts outside of a group's largest part up to which all of them are compared with all of the group at once, and
-#: turns of single texts before that.
-EACH, TURNS = 8, 2
-_SKETCH = "doc_id long, sig binary, n long, keys array<long>"
+#: Turns in which single texts of a group meet all others of it, before texts outside of its largest part do. Of those,
+#: up to EACH are paired by a join, up to WIDE by comparing blocks of BLOCK sketches, more are first divided by further keys.
+TURNS, EACH, WIDE, BLOCK = 2, 32, 20000, 256
+#: Bins of a sketch, and the standard errors by which its estimate may fall below SIMILARITY (lost: 3 in a million pairs).
+BINS, ERRORS = 512, 4.5
+_SKETCH = "doc_id long, sig binary, n long, keys array<long>, bins binary"
 
 
-def occurrence_labels(values: np.ndarray) -> np.ndarray:
-    """How often each value came before."""
-    order = np.argsort(values, kind="stable")
+def occurrence_labels(values: np.ndarray, kind: str | None = "stable") -> np.ndarray:
+    """How often each value came before; with another kind of sort, equal values are numbered in any order."""
+    order = np.argsort(values, kind=kind)
     new = np.ones(len(values), bool)
     new[1:] = values[order][1:] != values[order][:-1]
     start = np.maximum.accumulate(np.where(new, np.arange(len(values)), 0))
@@ -69,10 +71,20 @@ def _keys_from(labelled: np.ndarray) -> np.ndarray:
     return key
 
 
+def _bins_from(labelled: np.ndarray) -> bytes:
+    """A byte of the least hash in each of BINS bins, 0 for a bin without any."""
+    h = np.sort(tokens.mix(labelled ^ np.uint64(0x94D049BB133111EB)))
+    at = (h >> np.uint64(55)).astype(np.int64)  # the top 9 bits: BINS = 512
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    out = np.zeros(BINS, np.uint8)
+    out[at[first]] = (h[first] % np.uint64(255)).astype(np.uint8) + 1
+    return out.tobytes()
+
+
 def _sketch(batches):
     for batch in batches:
         for texts in tokens.steps(batch.column("text")):
-            w, sig, n, keys = tokens.words(texts), [], [], []
+            w, sig, n, keys, bins = tokens.words(texts), [], [], [], []
             cut = w.first.tolist()
             for i in range(len(texts)):
                 own = w.hash[cut[i] : cut[i + 1]]
@@ -80,13 +92,17 @@ def _sketch(batches):
                     sig.append(hashlib.md5(b"bytes" + texts.raw(i)).digest())
                     n.append(0)
                     keys.append([])
+                    bins.append(bytes(BINS))
                     continue
                 sig.append(hashlib.md5(own.tobytes()).digest())
                 s = shingles_of(own)
                 n.append(len(s))
-                keys.append(_keys_from(tokens.mix(s + occurrence_labels(s).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))).view(np.int64))
+                labelled = tokens.mix(s + occurrence_labels(s).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+                keys.append(_keys_from(labelled).view(np.int64))
+                bins.append(_bins_from(labelled))
             part = batch.slice(texts.first, len(texts))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sig", "n", "keys"])
+            columns = [part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sig", "n", "keys", "bins"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -113,24 +129,45 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return value if value >= least - 1e-12 else 0.0
 
 
+def _labelled(w: tokens.Words) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle hash that is the same only for the same text number, shingle and occurrence) of some texts."""
+    h = tokens.shingles(w.hash, SHINGLE)
+    text = w.text[: len(h)]
+    inside = text == w.text[SHINGLE - 1 : SHINGLE - 1 + len(h)]
+    text = text[inside]
+    z = tokens.mix(h[inside] ^ tokens.mix(text.astype(np.uint64) + np.uint64(1)))
+    return text, tokens.mix(z + occurrence_labels(z, None).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+
+def may_be_links(wa: tokens.Words, wb: tokens.Words) -> np.ndarray:
+    """Which pairs (text i of a, text i of b) share enough shingles for SIMILARITY, in any order of them."""
+    n = len(wa.first) - 1
+    (ta, za), (tb, zb) = _labelled(wa), _labelled(wb)
+    _, at, _ = np.intersect1d(za, zb, assume_unique=True, return_indices=True)
+    shared, total = np.bincount(ta[at], minlength=n), np.bincount(ta, minlength=n) + np.bincount(tb, minlength=n)
+    return (shared >= SIMILARITY * (total - shared) - 1e-6) | (total == 0)
+
+
 def _verify(batches):
     for batch in batches:
-        left = list(tokens.steps(batch.column("text_a"), most=256))
-        for texts in left:
+        for texts in tokens.steps(batch.column("text_a"), most=256):
             part = batch.slice(texts.first, len(texts))
             wa = tokens.words(texts)
-            a = [wa.hash[wa.first[i] : wa.first[i + 1]] for i in range(len(texts))]
-            b = []
             for other in tokens.steps(part.column("text_b")):
+                own = part.slice(other.first, len(other))
+                lo, hi = other.first, other.first + len(other)
                 wb = tokens.words(other)
-                b += [wb.hash[wb.first[i] : wb.first[i + 1]] for i in range(len(other))]
-            score = np.array([similarity(x, y) for x, y in zip(a, b, strict=True)])
-            keep = pa.array(score > 0)
-            yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep), pa.array(score[score > 0])], names=["a", "b", "similarity"])
+                a0, a1 = int(wa.first[lo]), int(wa.first[hi])
+                cut = tokens.Words(wa.start[a0:a1], wa.end[a0:a1], wa.hash[a0:a1], wa.text[a0:a1] - lo, wa.first[lo : hi + 1] - a0, wa.lower)
+                score = np.zeros(len(other))
+                for i in np.flatnonzero(may_be_links(cut, wb)).tolist():
+                    score[i] = similarity(cut.hash[cut.first[i] : cut.first[i + 1]], wb.hash[wb.first[i] : wb.first[i + 1]])
+                keep = pa.array(score > 0)
+                yield pa.RecordBatch.from_arrays([own.column("a").filter(keep), own.column("b").filter(keep), pa.array(score[score > 0])], names=["a", "b", "similarity"])
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """doc_id, sig (of the words), n (shingles), keys."""
+    """doc_id, sig (of the words), n (shingles), keys, bins."""
     docs = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return docs.mapInArrow(_sketch, _SKETCH)
 
@@ -171,29 +208,67 @@ def _opened(placed: DataFrame) -> DataFrame:
     return written(placed.join(several, F.col("key") == F.col("k")).select(*placed.columns, (F.col("part") != F.col("main")).alias("out"), "outs"), "open")
 
 
+def likely(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of sketches b may be as similar to sketch a as SIMILARITY asks."""
+    filled = np.count_nonzero(b | a, axis=1)
+    same = np.count_nonzero((b == a) & (a != 0), axis=1)
+    return same >= SIMILARITY * filled - ERRORS * np.sqrt(SIMILARITY * (1 - SIMILARITY) * filled)
+
+
+def _blocks(table: pa.Table) -> pa.Table:
+    """Likely pairs a < b across parts of two blocks of texts of a key."""
+    column = lambda n: table[n].to_numpy()
+    rep, part, n, left = (column(c) for c in ("rep", "part", "n", "left"))
+    bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
+    u, v = np.flatnonzero(left), np.flatnonzero(~left)
+    found = []
+    for i in u.tolist():
+        to = v[(part[v] != part[i]) & (np.minimum(n[v], n[i]) >= SIMILARITY * np.maximum(n[v], n[i]) - 1e-9)]
+        to = to[likely(bins[i], bins[to])]
+        found.append((np.minimum(rep[to], rep[i]), np.maximum(rep[to], rep[i])))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _in_blocks(open_: DataFrame, bins: DataFrame) -> DataFrame:
+    """Likely pairs across parts of keys of many texts: blocks of texts outside of the largest part meet blocks of all."""
+    blocks = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("of_all"), F.ceil(F.max("outs") / BLOCK).cast("int").alias("of_outs"))
+    blocks = written(blocks.withColumnRenamed("key", "k"), "blocks")
+    rows = open_.select("key", "rep", "n", "part", "out").join(blocks, F.col("key") == F.col("k")).join(bins, F.col("rep") == F.col("bins_of"))
+    place = lambda count: F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
+    others = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["key", "rep", "n", "part", "bins"]
+    left = rows.where("out").select(*columns, F.lit(True).alias("left"), place("of_outs").alias("i"), others("of_all").alias("j"))
+    right = rows.select(*columns, F.lit(False).alias("left"), others("of_outs").alias("i"), place("of_all").alias("j"))
+    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long")
+
+
 def _pairs_left(open_: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs across parts of every key. A key with many texts outside of its largest part is first divided by the other
-    keys that its texts hold: a pair shares `least` keys, so it meets again in a smaller group."""
-    keys = reps.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys")).withColumnRenamed("rep", "keys_of")
-    open_ = open_.withColumn("of", F.array("key"))
-    pairs = None
-    for _ in range(least - 1):
+    """Likely pairs across parts of every key. A key with very many texts outside of its largest part is first divided by
+    the other keys that its texts hold: a pair shares `least` keys, so it meets again in a smaller group."""
+    by_rep = written(reps.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"), F.max("bins").alias("bins")), "by-rep")
+    keys, bins = (by_rep.select(F.col("rep").alias(f"{c}_of"), c) for c in ("keys", "bins"))
+    open_, pairs = open_.withColumn("of", F.array("key")), []
+    for level in range(max(1, least)):
         small = open_.where(F.col("outs") <= EACH)
-        met = _across(small, small.where("out"))
-        pairs = met if pairs is None else pairs.unionByName(met)
-        large = open_.where(F.col("outs") > EACH)
-        if large.isEmpty():
-            return pairs.distinct()
-        more = large.join(keys, F.col("rep") == F.col("keys_of")).select("rep", "n", "part", "of", F.explode(F.array_except("keys", "of")).alias("and"))
-        more = more.select("rep", "n", "part", F.array_sort(F.array_append("of", F.col("and"))).alias("of")).distinct()
-        open_ = _opened(more.withColumn("key", F.xxhash64("of")))
-    met = _across(open_, open_.where("out"))
-    return met if pairs is None else pairs.unionByName(met).distinct()
+        pairs.append(_plausible(_across(small, small.where("out")), reps, least))
+        more = F.col("outs") > EACH
+        wide = more & (F.col("outs") > WIDE) if level + 1 < least else F.lit(False)
+        pairs.append(_in_blocks(open_.where(more & ~wide), bins))
+        if level + 1 >= least or (wide := open_.where(wide)).isEmpty():
+            break
+        shared = wide.join(keys, F.col("rep") == F.col("keys_of")).select("rep", "n", "part", "of", F.explode(F.array_except("keys", "of")).alias("and"))
+        shared = shared.select("rep", "n", "part", F.array_sort(F.array_append("of", F.col("and"))).alias("of")).distinct()
+        open_ = _opened(shared.withColumn("key", F.xxhash64("of")))
+    out = pairs[0]
+    for p in pairs[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
 
 
 def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataFrame:
-    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys. Every such pair is compared, or
-    other links join it.
+    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys, bins. Every such pair is compared, or
+    other links join it; of groups of many texts, every pair whose sketches do not rule it out.
 
     Pairs with a key's first document come first. What they leave in several parts is paired across parts: texts
     outside of the key's largest part with all others. Before, where that is many pairs, for up to TURNS turns one text of
@@ -217,8 +292,8 @@ def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataF
         else:
             one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "part", "n")).alias("one")
             others = written(open_.groupBy("key", "out").agg(one).select("key", "one.rep", "one.part", "one.n"), "others")
-            pairs = _across(open_, others)
-        more = _verified(_plausible(pairs, reps, least_shared), documents)
+            pairs = _plausible(_across(open_, others), reps, least_shared)
+        more = _verified(pairs, documents)
         found = written(found.unionByName(more).dropDuplicates(["a", "b"]), "links")
         if last:
             break
@@ -228,9 +303,9 @@ def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataF
 def classes(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (the class's least doc_id), class_size, n_links: one row per distinct doc_id."""
     known = written(sketches(documents), "sketches")
-    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bins").alias("bins"))
     reps = written(by_sig, "reps")
-    found = links(documents, reps.select("rep", "n", "keys"), SHARED)
+    found = links(documents, reps.select("rep", "n", "keys", "bins"), SHARED)
     # rows that share a doc_id but not their words are joined into one document
     same = known.select("doc_id", "sig").join(reps.select(F.col("sig").alias("s"), "rep"), F.col("sig") == F.col("s")).select("doc_id", "rep").distinct()
     members = written(same, "members")
