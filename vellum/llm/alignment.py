@@ -14,6 +14,8 @@ from . import tokens
 
 #: Differences up to which all furthest points are kept (a triangle of 32-bit numbers: 64 MB at most).
 KEPT = 4000
+#: Differences up to which a path is first sought one diagonal at a time, which is quicker for so few.
+FEW = 10
 _NONE = -(1 << 30)
 
 
@@ -132,7 +134,49 @@ def _trace(p: _Pair, kept: list, d: int) -> list[tuple[int, int, int]]:
     return [r for r in runs[::-1] if r[2] > 0]
 
 
+def _near(a: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int, int]] | None:
+    """The same runs, one diagonal at a time."""
+    n, m = len(a), len(b)
+
+    def slide(x: int, y: int) -> int:
+        step = 16
+        while x < n and y < m:
+            k = min(step, n - x, m - y)
+            differ = a[x : x + k] != b[y : y + k]
+            at = int(differ.argmax())
+            if at or differ[0]:
+                return x + at
+            x, y, step = x + k, y + k, step * 4
+        return x
+
+    end, kept, reach = n - m, [], {}
+    for d in range(most + 1):
+        now = {}
+        for k in range(max(-d, -m, end - most + d), min(d, n, end + most - d) + 1):
+            if (k + d) % 2:
+                continue
+            x = max(reach.get(k - 1, _NONE) + 1, reach.get(k + 1, _NONE)) if d else 0
+            if 0 <= x <= n and 0 <= x - k <= m:
+                now[k] = slide(x, x - k)
+        kept.append(now)
+        if now.get(end, -1) >= n:
+            break
+        reach = now
+    else:
+        return None
+    runs, k, x = [], end, n
+    for d in range(len(kept) - 1, 0, -1):
+        left, right = kept[d - 1].get(k - 1, _NONE) + 1, kept[d - 1].get(k + 1, _NONE)
+        start = max(left, right)
+        runs.append((start, start - k, x - start))
+        x, k = (left - 1, k - 1) if left > right else (right, k + 1)
+    runs.append((0, 0, x))
+    return [r for r in runs[::-1] if r[2] > 0]
+
+
 def _path(p: _Pair, most: int) -> list[tuple[int, int, int]] | None:
+    if (found := _near(p.a, p.b, min(most, FEW))) is not None or most <= FEW:
+        return found
     if most <= KEPT:
         found = _forward(p, most, keep=True)
         return None if found is None else _trace(p, found[1], found[0])
