@@ -35,8 +35,8 @@ SHARED = 3
 #: Turns in which single texts of a group meet all others of it, before texts outside of its largest part do. Of those,
 #: up to EACH are paired by a join, up to WIDE by comparing blocks of BLOCK sketches, more are first divided by further keys.
 TURNS, EACH, WIDE, BLOCK = 2, 32, 20000, 256
-#: Bins of a sketch, and the standard errors by which its estimate may fall below SIMILARITY (lost: 3 in a million pairs).
-BINS, ERRORS = 512, 4.5
+#: Bins of a sketch, and the standard errors by which its estimate may fall below SIMILARITY (lost: 3 in 100,000 pairs).
+BINS, ERRORS = 1024, 4.0
 _SKETCH = "doc_id long, sig binary, n long, keys array<long>, bins binary"
 
 
@@ -74,7 +74,7 @@ def _keys_from(labelled: np.ndarray) -> np.ndarray:
 def _bins_from(labelled: np.ndarray) -> bytes:
     """A byte of the least hash in each of BINS bins, 0 for a bin without any."""
     h = np.sort(tokens.mix(labelled ^ np.uint64(0x94D049BB133111EB)))
-    at = (h >> np.uint64(55)).astype(np.int64)  # the top 9 bits: BINS = 512
+    at = (h >> np.uint64(54)).astype(np.int64)  # the top 10 bits: BINS = 1024
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     out = np.zeros(BINS, np.uint8)
     out[at[first]] = (h[first] % np.uint64(255)).astype(np.uint8) + 1
@@ -208,11 +208,15 @@ def _opened(placed: DataFrame) -> DataFrame:
     return written(placed.join(several, F.col("key") == F.col("k")).select(*placed.columns, (F.col("part") != F.col("main")).alias("out"), "outs"), "open")
 
 
-def likely(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which rows of sketches b may be as similar to sketch a as SIMILARITY asks."""
+def likely(a: np.ndarray, b: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
+    """Which rows of sketches b, of m shingles, may be as similar to sketch a, of n shingles, as SIMILARITY asks.
+
+    The filled bins are a sample, without replacement, of the shingles that either text has: at SIMILARITY (n + m) /
+    (1 + SIMILARITY) of them, so that a sketch of a short text is nearly exact."""
     filled = np.count_nonzero(b | a, axis=1)
     same = np.count_nonzero((b == a) & (a != 0), axis=1)
-    return same >= SIMILARITY * filled - ERRORS * np.sqrt(SIMILARITY * (1 - SIMILARITY) * filled)
+    missed = np.clip(1 - filled * (1 + SIMILARITY) / (n + m), 0, 1)
+    return same >= SIMILARITY * filled - ERRORS * np.sqrt(SIMILARITY * (1 - SIMILARITY) * filled * missed) - 0.5
 
 
 def _blocks(table: pa.Table) -> pa.Table:
@@ -224,7 +228,7 @@ def _blocks(table: pa.Table) -> pa.Table:
     found = []
     for i in u.tolist():
         to = v[(part[v] != part[i]) & (np.minimum(n[v], n[i]) >= SIMILARITY * np.maximum(n[v], n[i]) - 1e-9)]
-        to = to[likely(bins[i], bins[to])]
+        to = to[likely(bins[i], bins[to], n[i], n[to])]
         found.append((np.minimum(rep[to], rep[i]), np.maximum(rep[to], rep[i])))
     a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
