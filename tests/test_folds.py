@@ -30,12 +30,12 @@ def join_by_loop(lines):
 def test_hyphens(spark):
     rng = random.Random(1)
     pool = ["ab-", "xab-", "b-", "c", "  cd", "Two-", "Upper", "", "  ", "e-", "é-", "straße-", "im\\-posed", "Da</mark>\\-tum", "a1-", "слово-", "часть", "9", "z-"]
-    books = {b: [rng.choice(pool) for _ in range(rng.randint(1, 14))] for b in range(400)}
-    df = spark.createDataFrame([(b, i + 1, t) for b, ls in books.items() for i, t in enumerate(ls)], "book long, line int, text string")
+    volumes = {b: [rng.choice(pool) for _ in range(rng.randint(1, 14))] for b in range(400)}
+    df = spark.createDataFrame([(b, i + 1, t) for b, ls in volumes.items() for i, t in enumerate(ls)], "book long, line int, text string")
     got = {}
     for r in structure.join_hyphens(df).orderBy("book", "line").collect():
         got.setdefault(r.book, []).append(r.text)
-    for b, ls in books.items():
+    for b, ls in volumes.items():
         assert got[b] == join_by_loop(ls), ls
 
 
@@ -116,9 +116,9 @@ def test_views_merge(spark):
 
 
 def relabelled(spark, text, blocks):
-    books = spark.createDataFrame([(1, text)], "book long, text string")
+    volumes = spark.createDataFrame([(1, text)], "book long, text string")
     rows = spark.createDataFrame([(1, i, la, t) for i, (la, t) in enumerate(blocks)], "book long, pos int, label string, text string")
-    out = alignment.relabel(books, rows).collect()
+    out = alignment.relabel(volumes, rows).collect()
     return out[0].text, {r.what: r.n for r in out if r.what}
 
 

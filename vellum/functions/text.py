@@ -7,7 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Fixed values that results depend on.
 TABLE = r"(?is)<table\b.*?</table>"
@@ -43,29 +43,48 @@ def unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def unescape_each(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda each: [x if x is None else html.unescape(x) for x in each], na_action="ignore")
+
+
 def decoded(text: Column) -> Column:
-    """unescape() for the rows that need it: others never leave the JVM's values (both branches are planned)."""
-    return F.when(text.contains("&"), unescape(text)).otherwise(text)
+    """Entities as characters; only texts with an ampersand go to Python, others keep the JVM's value."""
+    return F.coalesce(unescape(F.when(text.contains("&"), text)), text)
+
+
+def decoded_each(texts: Column) -> Column:
+    """decoded() of every element of an array (a Python function has no place in a lambda)."""
+    return F.coalesce(unescape_each(F.when(F.exists(texts, lambda x: x.contains("&")), texts)), texts)
 
 
 def plain(cell: Column) -> Column:
-    """A cell's text without tags and marks, trimmed; entities are left (see decoded)."""
-    return strip(F.regexp_replace(untag(cell), f"[{CAUTION}{UNSTABLE}]", ""))
+    """A cell's text without tags and marks, entities decoded, trimmed."""
+    return strip(F.regexp_replace(decoded(untag(cell)), f"[{CAUTION}{UNSTABLE}]", ""))
 
 
 def norm(cell: Column) -> Column:
     """plain(), all quotes as the double quote, no white space."""
-    return F.regexp_replace(F.regexp_replace(plain(cell), "[”’']", '"'), r"(?U)\s+", "")
+    return _normal(decoded(untag(cell)))
+
+
+def norm_each(cells: Column) -> Column:
+    """norm() of every element of an array."""
+    return F.transform(decoded_each(F.transform(cells, untag)), _normal)
+
+
+def _normal(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, f"[{CAUTION}{UNSTABLE}]", ""), "[”’']", '"'), r"(?U)\s+", "")
 
 
 def signature_text(cell: Column) -> Column:
-    """A cell for signatures: no tags, no caution marks (instability marks stay), no white space."""
-    return F.regexp_replace(F.regexp_replace(untag(cell), CAUTION, ""), r"(?U)\s+", "")
+    """A cell for signatures: no tags, entities decoded, no caution marks (instability marks stay), no white space."""
+    return F.regexp_replace(F.regexp_replace(decoded(untag(cell)), CAUTION, ""), r"(?U)\s+", "")
 
 
 def reading(cell: Column) -> Column:
-    """A cell for comparing readings: no tags, no caution marks, trimmed."""
-    return strip(F.regexp_replace(strip(untag(cell)), CAUTION, ""))
+    """A cell for comparing readings: no tags, entities decoded, no caution marks, trimmed."""
+    return strip(F.regexp_replace(decoded(untag(cell)), CAUTION, ""))
 
 
 def key(text: Column) -> Column:
@@ -74,8 +93,8 @@ def key(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """ASCII letters and digits in lower case, split into words."""
-    return F.filter(F.split(F.lower(F.regexp_replace(untag(text, " "), "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
+    """ASCII letters and digits in lower case, split into words; entities are decoded."""
+    return F.filter(F.split(F.lower(F.regexp_replace(decoded(untag(text, " ")), "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
 
 
 def strip_leaders(text: Column) -> Column:
@@ -88,12 +107,13 @@ def count_leaders(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Glyph repairs of recognised text: hyphens, quotes, blanks before punctuation."""
+    # Signs and what stands for them.
     t = F.regexp_replace(text, "¬", "-")
     t = F.regexp_replace(t, r"\^\^|''|``", '"')
     t = F.regexp_replace(t, "[‘’‛´`]", "'")
     t = F.regexp_replace(t, "[“”]", '"')
-    t = F.regexp_replace(t, r"\s+([,.;:])", "$1")
-    return F.trim(F.regexp_replace(t, r"\s{2,}", " "))
+    t = F.regexp_replace(t, r"(?U)\s+([,.;:])", "$1")
+    return strip(F.regexp_replace(t, r"(?U)\s{2,}", " "))
 
 
 def title_case(text: Column) -> Column:
@@ -104,7 +124,7 @@ def title_case(text: Column) -> Column:
         low = F.lower(w)
         return F.when((i > 0) & F.array_contains(small, low), low).otherwise(F.concat(F.upper(F.substring(low, 1, 1)), F.expr("''"), low.substr(F.lit(2), F.length(low))))
 
-    return F.array_join(F.transform(F.filter(F.split(text, r"\s+"), lambda w: w != ""), one), " ")
+    return F.array_join(F.transform(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""), one), " ")
 
 
 def canonical_images(text: Column) -> Column:
@@ -125,7 +145,7 @@ def plain_math(text: Column) -> Column:
     # Replacements in order.
     for sign, by in (
         (r"\^\{\\circ\}", "°"), (r"\^\{\\prime\\prime\}", "″"), (r"\^\{\\prime\}", "′"), (r"\\mathrm\{~?([^{}]*?)~?\}", "$1"), (r"\\mathbf\{([^{}]*?)\}", "$1"),
-        (r"\\mathit\{([^{}]*?)\}", "$1"), (r"\\frac\{([^{}]*)\}\{([^{}]*)\}", "($1)/($2)"), (r"\\quad|\\,|\;", " "), (r"\\pm", "±"), (r"\\times", "×"),
+        (r"\\mathit\{([^{}]*?)\}", "$1"), (r"\\frac\{([^{}]*)\}\{([^{}]*)\}", "($1)/($2)"), (r"\\quad|\\,|\\;", " "), (r"\\pm", "±"), (r"\\times", "×"),
         (r"\\prime", "′"), (r"\\circ", "°"), ("''", "″"), ("~", " "),
     ):
         t = F.regexp_replace(t, sign, by)
@@ -168,6 +188,7 @@ def section_number(title: Column) -> Column:
     """STRUCT<a, b> of a title's leading section number, or null. Its prefix must be empty or a section word."""
     pattern = r"^(\S{0,12}?)[.\s]*(\d+)\.(\d+)"
     t = strip(title)
+    # The pattern above, and the signs around a prefix.
     prefix = F.lower(F.regexp_replace(F.regexp_extract(t, pattern, 1), "^[.§ ]+|[.§ ]+$", ""))
     fits = F.regexp_like(t, F.lit(pattern)) & ((prefix == "") | prefix.isin(SECTION_WORDS))
     return F.when(fits, F.struct(F.regexp_extract(t, pattern, 2).cast("int").alias("a"), F.regexp_extract(t, pattern, 3).cast("int").alias("b")))
@@ -181,6 +202,7 @@ def looks_heading(text: Column) -> Column:
 
 def chapter_number(title: Column) -> Column:
     """The number of a chapter heading line, or null."""
+    # Fixed value: the form of such a line.
     return F.regexp_extract(title, rf"(?i)^(?:{CHAPTER_WORDS})\s+(\d+)\.", 1).try_cast("int")
 
 
@@ -205,6 +227,7 @@ def line_class(text: Column) -> Column:
 
 def is_folio(text: Column, y0: Column, y1: Column, bottom: Column) -> Column:
     """Whether a line is a page number: roman or up to three digits, in the last 28 points or the first 45."""
+    # The pattern and the two distances.
     return F.regexp_like(strip(text), F.lit(r"(?i)^[ivxlcdm]{1,7}$|^\d{1,3}$")) & ((y0 > bottom - 28) | (y1 < 45))
 
 
@@ -232,6 +255,7 @@ def image_names(markdown: Column, page: Column, ids: Column) -> Column:
 
     def name(i: Column) -> Column:
         known = F.regexp_like(F.lower(i), F.lit(r"\.(png|jpg|jpeg|webp|gif)$"))
-        return F.concat(F.lit("images/p"), F.lpad(page.cast("string"), 4, "0"), F.lit("_"), i, F.when(known, "").otherwise(".png"))
+        number = page.cast("string")
+        return F.concat(F.lit("images/p"), F.when(F.length(number) < 4, F.lpad(number, 4, "0")).otherwise(number), F.lit("_"), i, F.when(known, "").otherwise(".png"))
 
     return F.aggregate(ids, markdown, lambda acc, i: F.replace(acc, F.concat(F.lit("]("), i, F.lit(")")), F.concat(F.lit("]("), name(i), F.lit(")"))))

@@ -30,12 +30,12 @@ def states(wanted: DataFrame, listed: DataFrame, asked: DataFrame) -> DataFrame:
     return rows.select("id", F.when(F.col("__l"), "alive").when(F.col("ok"), "absent").otherwise("unknown").alias("state"))
 
 
-def own_instances(instances: DataFrame, prefix: str = "bs-") -> DataFrame:
+def own_instances(instances: DataFrame, prefix: str) -> DataFrame:
     """Instances whose label marks them as ours."""
     return instances.where(F.col("label").startswith(prefix))
 
 
-def label(name: str = "job", prefix: str = "bs-", most: int = 28):
+def label(prefix: str, name: str = "job", most: int = 28):
     """A label of a job: the prefix and the first characters of its name."""
     return F.concat(F.lit(prefix), F.substring(name, 1, most))
 

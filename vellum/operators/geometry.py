@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 # Labels that never yield to a table, and labels outside the columns of text.
 HARD = ("table", "image", "seal", "chart")
-NOT_COLUMN = ("header", "footer", "number", "header_image", "footer_image", "aside_text")
+NOT_COLUMN = ("number", "header", "footer", "header_image", "footer_image")
 
 
 def overlap(a: str, b: str) -> Column:

@@ -1,4 +1,4 @@
-"""Structure of recognised books: lines, headings, ranges, order, hyphens, lists, chapters."""
+"""Structure of recognised volumes: lines, headings, ranges, order, hyphens, lists, chapters."""
 
 from __future__ import annotations
 
@@ -10,9 +10,9 @@ from ..functions import text as T
 WORD_END = r"\p{L}{2}-$"
 
 
-def lines_of(books: DataFrame) -> DataFrame:
-    """books (book, text) → book, line (from 1), text."""
-    return books.select("book", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
+def lines_of(volumes: DataFrame) -> DataFrame:
+    """volumes (book, text) → book, line (from 1), text."""
+    return volumes.select("book", F.posexplode(F.split("text", "\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
 
 
 def headings(lines: DataFrame) -> DataFrame:

@@ -18,11 +18,9 @@ def html_tables(pages: DataFrame) -> DataFrame:
 def html_cells(pages: DataFrame, clean=T.plain) -> DataFrame:
     """table_no, row_no, col_no, cell_no (in the table), text of every cell of the HTML tables."""
     rest = [c for c in pages.columns if c != "text"]
-    rows = html_tables(pages).select(*rest, "table_no", F.transform(T.all_of(F.col("html"), T.ROW, 1), lambda r: T.all_of(r, T.CELL, 1)).alias("rows"))
-    cells = rows.select(*rest, "table_no", F.posexplode("rows").alias("row_no", "cells"), "rows").select(
-        *rest, "table_no", "row_no", F.aggregate(F.slice("rows", 1, F.col("row_no")), F.lit(0), lambda n, r: n + F.size(r)).alias("__before"), F.posexplode("cells").alias("col_no", "raw")
-    )
-    return cells.select(*rest, "table_no", "row_no", "col_no", (F.col("__before") + F.col("col_no")).alias("cell_no"), clean(F.col("raw")).alias("text"))
+    row = F.transform(T.all_of(F.col("html"), T.ROW, 1), lambda r, i: F.transform(T.all_of(r, T.CELL, 1), lambda c, j: F.struct(i.alias("row_no"), j.alias("col_no"), c.alias("raw"))))
+    cells = html_tables(pages).select(*rest, "table_no", F.posexplode(F.flatten(row)).alias("cell_no", "c"))
+    return cells.select(*rest, "table_no", "c.row_no", "c.col_no", "cell_no", clean(F.col("c.raw")).alias("text"))
 
 
 def pipe_rows(pages: DataFrame) -> DataFrame:
@@ -36,7 +34,7 @@ def pipe_rows(pages: DataFrame) -> DataFrame:
     numbered = island.withColumn("table_no", F.dense_rank().over(Window.partitionBy(*rest).orderBy("__island")) - 1)
     inside = F.regexp_replace("raw", r"^\|+|\|+$", "")
     row = F.row_number().over(Window.partitionBy(*rest, "table_no").orderBy("line")) - 1
-    return numbered.select(*rest, "table_no", row.alias("row_no"), F.transform(F.split(inside, r"\|"), T.norm).alias("cells"))
+    return numbered.select(*rest, "table_no", row.alias("row_no"), T.norm_each(F.split(inside, r"\|")).alias("cells"))
 
 
 def value_rows(rows: DataFrame) -> DataFrame:
@@ -73,12 +71,28 @@ def link_by_signature(left: DataFrame, right: DataFrame, within: list[str]) -> D
 
 def unwrap_degenerate(tables: DataFrame) -> DataFrame:
     """tables (…, html) with text: tables of one row or one column as paragraphs, others as they are."""
-    rows = F.transform(T.all_of(F.col("html"), T.ROW, 1), lambda r: F.transform(T.all_of(r, T.CELL, 1), lambda c: T.strip(T.untag(c))))
+    rows = F.transform(T.all_of(F.col("html"), T.ROW, 1), lambda r: F.transform(T.all_of(r, T.CELL, 1), T.untag))
     widest = F.aggregate(F.col("__rows"), F.lit(0), lambda n, r: F.greatest(n, F.size(r)))
     real = (F.size("__rows") == 0) | ((F.size("__rows") >= 2) & (widest >= 2))
-    lines = F.filter(F.transform("__rows", lambda r: T.strip(F.array_join(r, " "))), lambda x: x != "")
-    out = tables.withColumn("__rows", rows).withColumn("degenerate", ~real)
-    return out.withColumn("text", F.when(F.col("degenerate"), F.array_join(lines, "\n\n")).otherwise(F.col("html"))).drop("__rows", "html")
+    # all cells in one array to decode, then by the places of their rows again
+    stops = F.aggregate(F.col("__rows"), F.array(F.lit(0)), lambda at, r: F.array_append(at, F.element_at(at, -1) + F.size(r)))
+    cells = lambda i: F.slice("__cells", F.get("__stops", i) + 1, F.get("__stops", i + 1) - F.get("__stops", i))
+    lines = F.filter(F.transform("__rows", lambda _, i: T.strip(F.array_join(F.transform(cells(i), T.strip), " "))), lambda x: x != "")
+    out = tables.withColumn("__rows", rows).withColumn("degenerate", ~real).withColumn("__stops", stops).withColumn("__cells", T.decoded_each(F.when(F.col("degenerate"), F.flatten("__rows"))))
+    return out.withColumn("text", F.when(F.col("degenerate"), F.array_join(lines, "\n\n")).otherwise(F.col("html"))).drop("__rows", "__stops", "__cells", "html")
+
+
+def unwrap_pages(pages: DataFrame) -> DataFrame:
+    """pages (page, text) with their degenerate tables as paragraphs; the comment that names such a table's scan goes too."""
+    # Fixed value: the comment before a table.
+    table = r"(?is)(?:<!-- скан таблицы: [^>]*-->\n)?<table\b.*?</table>"
+    found = pages.where(F.lower("text").contains("<table")).select("page", F.explode(F.array_distinct(T.all_of(F.col("text"), table))).alias("whole"))
+    made = unwrap_degenerate(found.withColumn("html", F.regexp_extract("whole", T.TABLE, 0))).where("degenerate")
+    # longest first: a table without comment may also stand in the one with it
+    edits = made.groupBy("page").agg(F.sort_array(F.collect_list(F.struct(F.length("whole").alias("n"), "whole", "text")), asc=False).alias("__edits"))
+    joined = pages.join(edits, "page", "left")
+    folded = F.aggregate("__edits", F.col("text"), lambda acc, e: F.replace(acc, e["whole"], e["text"]))
+    return joined.withColumn("text", F.when(F.col("__edits").isNull(), F.col("text")).otherwise(folded)).drop("__edits")
 
 
 def orphan_crops(files: DataFrame, pages: DataFrame) -> DataFrame:

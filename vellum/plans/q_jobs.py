@@ -117,9 +117,9 @@ WITH s AS (SELECT book AS id, text FROM v_lines), n AS (SELECT id, 'images' AS w
  UNION ALL SELECT id, 'cautions', sum(len(regexp_extract_all(text, '⚠'))) FROM s GROUP BY id UNION ALL SELECT id, 'unstable', sum(len(regexp_extract_all(text, '≠'))) FROM s GROUP BY id)
 SELECT id, what, n::BIGINT AS want, CASE WHEN what = 'images' AND id % 4 = 0 THEN 0 ELSE n END::BIGINT AS have, what = 'images' AND id % 4 = 0 AND n > 0 AS short FROM n""")
 def export_reconcile(spark, sf_dir):
-    books = view(spark, sf_dir, "v_lines").groupBy(F.col("book").alias("id")).agg(F.array_join(F.array_sort(F.collect_list(F.struct("line", "text")))["text"], "\n").alias("text"))
-    lossy = books.withColumn("text", F.when(F.col("id") % 4 == 0, F.replace("text", F.lit("<img "), F.lit("<pic "))).otherwise(F.col("text")))
-    return exports.reconcile(exports.mark_counts(books), exports.mark_counts(lossy))
+    volumes = view(spark, sf_dir, "v_lines").groupBy(F.col("book").alias("id")).agg(F.array_join(F.array_sort(F.collect_list(F.struct("line", "text")))["text"], "\n").alias("text"))
+    lossy = volumes.withColumn("text", F.when(F.col("id") % 4 == 0, F.replace("text", F.lit("<img "), F.lit("<pic "))).otherwise(F.col("text")))
+    return exports.reconcile(exports.mark_counts(volumes), exports.mark_counts(lossy))
 
 
 @query("SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'alive' WHEN c_nationkey % 5 <> 0 THEN 'absent' ELSE 'unknown' END AS state FROM customer")
@@ -129,10 +129,10 @@ def instance_states(spark, sf_dir):
     return exports.states(c, c.where("id % 3 = 0"), asked)
 
 
-@query("SELECT c_custkey, concat('bs-', substr(c_name, 1, 28)) AS label FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query("SELECT c_custkey, concat('bench-', substr(c_name, 1, 28)) AS label FROM customer WHERE c_mktsegment = 'BUILDING'")
 def own_instances(spark, sf_dir):
-    c = view(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", exports.label("c_name")).otherwise(F.col("c_name")).alias("label"))
-    return exports.own_instances(c)
+    c = view(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", exports.label("bench-", "c_name")).otherwise(F.col("c_name")).alias("label"))
+    return exports.own_instances(c, "bench-")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 5 <> 0 AND value * 2 >= 60 AND value > 0 THEN value * 8e0 / 1e6 / (event_id % 7 + 1) ELSE 0e0 END AS mbit_s FROM events")
@@ -149,19 +149,19 @@ def label_projection(spark, sf_dir):
     return rows.where(~F.col("label").isin(hidden)).select("doc_id", "line", "text")
 
 
-@query("""SELECT conv_id, turn, concat('T = ', (turn * 10), '°, (1)/(', turn + 2, ') × ', 'a', conv_id, '  b c  d', ' end') AS text FROM conversations""")
+@query("""SELECT conv_id, turn, concat('T = ', (turn * 10), '°, (1)/(', turn + 2, ') × ', 'a', conv_id, '  b c  d', ' end; x', chr(32), 'y') AS text FROM conversations""")
 def plain_math(spark, sf_dir):
     n = lambda c: F.col(c).cast("string")
     tex = F.concat(
         F.lit("T = $ "), (F.col("turn") * 10).cast("string"), F.lit("^{\\circ} $, $\\frac{1}{"), (F.col("turn") + 2).cast("string"), F.lit("} \\times $ "),
-        F.lit("\\begin{array}{ll} {a"), n("conv_id"), F.lit("} & b \\\\ c & {d} \\end{array} end"),
+        F.lit("\\begin{array}{ll} {a"), n("conv_id"), F.lit("} & b \\\\ c & {d} \\end{array} end; $x\\;y$"),
     )
     return view(spark, sf_dir, "conversations").select("conv_id", "turn", T.plain_math(tex).alias("text"))
 
 
-@query("SELECT page_id, concat('![a](images/p', lpad(page_id::VARCHAR, 4, '0'), '_x.png) ![b](images/p', lpad(page_id::VARCHAR, 4, '0'), '_y.jpeg)') AS markdown FROM pages WHERE page_id < 10000")
+@query("SELECT page_id, concat('![a](images/p', format('{:04d}', page_id), '_x.png) ![b](images/p', format('{:04d}', page_id), '_y.jpeg)') AS markdown FROM pages")
 def image_links(spark, sf_dir):
-    return view(spark, sf_dir, "pages").where("page_id < 10000").select("page_id", T.image_names(F.lit("![a](x) ![b](y.jpeg)"), F.col("page_id"), F.array(F.lit("x"), F.lit("y.jpeg"))).alias("markdown"))
+    return view(spark, sf_dir, "pages").select("page_id", T.image_names(F.lit("![a](x) ![b](y.jpeg)"), F.col("page_id"), F.array(F.lit("x"), F.lit("y.jpeg"))).alias("markdown"))
 
 
 @query("""
@@ -190,7 +190,7 @@ def label_coverage(spark, sf_dir):
 
 @query(None)
 def relabel(spark, sf_dir):
-    """Documents as books whose lines are paragraphs, and blocks of the same lines with labels; tests hold the fold to cases."""
+    """Documents as volumes whose lines are paragraphs, and blocks of the same lines with labels; tests hold the fold to cases."""
     docs = view(spark, sf_dir, "documents").select(F.col("doc_id").alias("book"), "text")
     lines = structure.lines_of(docs)
     label = F.element_at(F.array(*map(F.lit, ["doc_title", "header", "text", "paragraph_title", "figure_title"])), ((F.col("line") - 1) % 5 + 1).cast("int"))
@@ -198,19 +198,25 @@ def relabel(spark, sf_dir):
     return alignment.relabel(docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit("\n\n"))), blocks)
 
 
-@query("SELECT doc_id % 10 AS book, concat(string_agg(text, chr(10) || chr(10) ORDER BY doc_id), chr(10) || chr(10)) AS text FROM documents WHERE doc_id < 200 GROUP BY ALL")
+@query("SELECT doc_id % 10 AS book, concat(string_agg(text, chr(10) || chr(10) ORDER BY doc_id), chr(10) || chr(10)) AS text FROM documents GROUP BY ALL")
 def book_concat(spark, sf_dir):
     from ..sources import runs
 
-    pages = view(spark, sf_dir, "documents").where("doc_id < 200").select((F.col("doc_id") % 10).alias("book"), F.col("doc_id").alias("page"), "text")
+    pages = view(spark, sf_dir, "documents").select((F.col("doc_id") % 10).alias("book"), F.col("doc_id").alias("page"), "text")
     return runs.concat_pages(pages)
 
 
 @query("""
-WITH p AS (SELECT doc_id AS page, 'CONTENTS' || chr(10) || (doc_id % 5 + 1) || '. Title of ' || lang || ' ..... ' || doc_id AS text FROM documents), e AS (SELECT page, (page % 5 + 1)::INT AS num, regexp_extract(text, 'Title of ..') AS title FROM p WHERE page < 8)
-SELECT num, arg_min(title, page) AS title FROM e GROUP BY num""")
+WITH p AS (SELECT doc_id AS page, 'Contents' || chr(10) || ' ' || (doc_id % 5 + 1) || '. Title of Sliues ' || lang || CASE doc_id % 3 WHEN 0 THEN ' ..... ' WHEN 1 THEN ' . . ' ELSE '  ' END || doc_id || chr(10) || (doc_id % 3 + 6) || '. 9 is no title 4' AS text FROM documents),
+l AS (SELECT page, unnest(string_split(text, chr(10))) AS line, unnest(range(3)) AS pos FROM p WHERE page < 8 AND upper(text) LIKE '%CONTENTS%'),
+e AS (SELECT page, pos, regexp_extract(line, '^\\s*(\\d{1,2})\\.\\s+([A-Za-z][^.]*?)\\s*[.\\s]*\\s*\\d{1,3}\\s*$', ['num', 'title']) AS m FROM l)
+SELECT m.num::INT AS num, arg_min(replace(replace(trim(m.title), 'RecondHioning', 'Reconditioning'), 'Sliues', 'Slides'), page * 10 + pos) AS title FROM e WHERE m.num <> '' GROUP BY ALL""")
 def contents_titles(spark, sf_dir):
     from ..sources import runs
 
-    text = F.concat(F.lit("CONTENTS\n"), (F.col("doc_id") % 5 + 1).cast("string"), F.lit(". Title of "), "lang", F.lit(" ..... "), F.col("doc_id").cast("string"))
+    tail = F.when(F.col("doc_id") % 3 == 0, " ..... ").when(F.col("doc_id") % 3 == 1, " . . ").otherwise("  ")
+    text = F.concat(
+        F.lit("Contents\n "), (F.col("doc_id") % 5 + 1).cast("string"), F.lit(". Title of Sliues "), "lang", tail, F.col("doc_id").cast("string"),
+        F.lit("\n"), (F.col("doc_id") % 3 + 6).cast("string"), F.lit(". 9 is no title 4"),
+    )
     return runs.contents_titles(view(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), text.alias("text")))

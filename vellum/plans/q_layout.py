@@ -43,7 +43,7 @@ def detector_threshold(spark, sf_dir):
 
 
 _GUTTER = """
-t AS (SELECT * FROM v_boxes WHERE label NOT IN ('table', 'header', 'footer', 'number', 'header_image', 'footer_image', 'aside_text')),
+t AS (SELECT * FROM v_boxes WHERE label NOT IN ('table', 'number', 'header', 'footer', 'header_image', 'footer_image')),
 g AS (SELECT *, lag(x0) OVER (PARTITION BY page ORDER BY x0, i) AS b FROM t),
 r AS (SELECT *, count(*) OVER (PARTITION BY page) AS n, row_number() OVER (PARTITION BY page ORDER BY x0 - b DESC NULLS LAST, x0, i) AS r FROM g),
 cut AS (SELECT page, (b + x0) / 2 AS place FROM r WHERE r = 1 AND n >= 4 AND x0 - b > 0 AND x0 - b >= 760 * 15e-2),

@@ -49,7 +49,7 @@ def strip_leaders(spark, sf_dir):
 
 @query("""
 WITH t AS (SELECT conv_id, turn, concat('``', replace(text, '.', ' .¬'), '’') AS t FROM conversations)
-SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(t, '¬', '-'), '\\^\\^|''''|``', '"', 'g'), '[‘’‛´`]', '''', 'g'), '[“”]', '"', 'g'), '\\s+([,.;:])', '\\1', 'g'), '\\s{2,}', ' ', 'g')) AS text FROM t""")
+SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(t, '¬', '-'), '\\^\\^|''''|``', '"', 'g'), '[‘’‛´`]', '''', 'g'), '[“”]', '"', 'g'), '[\\s\\p{Z}\\x{85}\\v]+([,.;:])', '\\1', 'g'), '[\\s\\p{Z}\\x{85}\\v]{2,}', ' ', 'g'), '^[\\s\\p{Z}\\x{85}\\v]+|[\\s\\p{Z}\\x{85}\\v]+$', '', 'g') AS text FROM t""")
 def clean_text(spark, sf_dir):
     noisy = F.concat(F.lit("``"), F.replace("text", F.lit("."), F.lit(" .¬")), F.lit("’"))
     return view(spark, sf_dir, "conversations").select("conv_id", "turn", T.clean(noisy).alias("text"))
@@ -239,7 +239,7 @@ def caption_binding(spark, sf_dir):
 
 @query("""
 WITH t AS (SELECT conv_id, turn, concat(CASE turn % 6 WHEN 0 THEN 'Chapter ' || (turn + 1) || ' ' WHEN 1 THEN 'Sec. ' || turn || '. ' || conv_id % 50 || ' ' WHEN 2 THEN 'Fig. 3 ' ELSE '' END, CASE WHEN turn % 6 = 3 THEN upper(substr(text, 1, 40)) WHEN turn % 2 = 0 THEN substr(text, 1, 50) ELSE text END) AS t FROM conversations),
-c AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(t, '¬', '-'), '\\^\\^|''''|``', '"', 'g'), '[‘’‛´`]', '''', 'g'), '[“”]', '"', 'g'), '\\s+([,.;:])', '\\1', 'g'), '\\s{2,}', ' ', 'g')) AS t FROM t)
+c AS (SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(t, '¬', '-'), '\\^\\^|''''|``', '"', 'g'), '[‘’‛´`]', '''', 'g'), '[“”]', '"', 'g'), '[\\s\\p{Z}\\x{85}\\v]+([,.;:])', '\\1', 'g'), '[\\s\\p{Z}\\x{85}\\v]{2,}', ' ', 'g'), '^[\\s\\p{Z}\\x{85}\\v]+|[\\s\\p{Z}\\x{85}\\v]+$', '', 'g') AS t FROM t)
 SELECT conv_id, turn, CASE WHEN t = '' THEN NULL WHEN regexp_matches(t, '(?i)^Chapter\\s+([0-9]{1,2})\\b\\s*(.*)$') AND length(t) < 80 THEN 'chapter' WHEN regexp_matches(t, '(?i)^Sec[.,;:^]{0,2}\\s*(\\d{1,2})\\s*[.,:;^]\\s*(\\d{1,2})\\b\\.?\\s*(.*)$') THEN 'sec'
  WHEN regexp_matches(t, '(?i)^(Fig|PLATE|Plate|Table)\\b\\.?\\s*\\d') THEN 'caption' WHEN length(t) < 75 AND length(regexp_replace(t, '[^\\p{Lu}]', '', 'g')) > 8e-1 * length(regexp_replace(t, '[^\\p{L}]', '', 'g')) AND length(regexp_replace(t, '[^\\p{L}]', '', 'g')) > 3 THEN 'head' ELSE 'body' END AS kind FROM c""")
 def line_classes(spark, sf_dir):

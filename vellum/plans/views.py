@@ -39,7 +39,7 @@ VIEWS = {
         SELECT book, page, {agg} AS text FROM (
             SELECT book, page, table_no, concat('<table border=1>', {agg_rows}, '</table>') AS html FROM (
                 SELECT book, page, table_no, row_no, concat('<tr>', {agg_cells}, '</tr>') AS html
-                FROM (SELECT book, page, table_no, row_no, col_no, concat('<td>', CASE WHEN pos % 13 = 0 THEN concat('<b>', text, '</b> ⚠') ELSE text END, '</td>') AS html FROM v_cells WHERE page % 3 = 0) c
+                FROM (SELECT book, page, table_no, row_no, col_no, concat('<td>', CASE WHEN pos % 13 = 0 THEN concat('<b>', text, '</b> ⚠') ELSE text END, '</td>') AS html FROM v_cells) c
                 GROUP BY book, page, table_no, row_no) r
             GROUP BY book, page, table_no) t
         GROUP BY book, page""",

@@ -83,12 +83,19 @@ def api_pages(answers: DataFrame) -> DataFrame:
     return pages.select(F.col("p.index").alias("page"), F.col("p.markdown").alias("markdown"), F.explode_outer("p.images").alias("i")).select("page", "markdown", F.col("i.id").alias("image_id"), F.unbase64(F.regexp_replace("i.image_base64", "^data:[^,]*,", "")).alias("image"))
 
 
+# The form of an entry of printed contents, and two misread words.
+ENTRY = r"^\s*(\d{1,2})\.\s+([A-Za-z][^.]*?)\s*[.\s]*\s*\d{1,3}\s*$"
+MISREAD = (("RecondHioning", "Reconditioning"), ("Sliues", "Slides"))
+
+
 def contents_titles(pages: DataFrame, most: int = 8) -> DataFrame:
-    """num, title of the printed contents: `N. Title …… page` lines of the first pages that say CONTENTS; first match wins."""
-    entry = r"(\d{1,2})\.\s+([^\n.…]+?)\s*[.…](?:\s*[.…])+\s*\d+"
-    rows = pages.where((F.col("page") < most) & F.col("text").contains("CONTENTS"))
-    found = rows.select("page", F.posexplode(F.regexp_extract_all("text", F.lit(entry), F.lit(0))).alias("pos", "e"))
-    parts = found.select("page", "pos", F.regexp_extract("e", entry, 1).cast("int").alias("num"), F.trim(F.regexp_extract("e", entry, 2)).alias("title"))
+    """num, title of the printed contents: `N. Title …… page` lines of the first pages that say contents; first match wins."""
+    rows = pages.where((F.col("page") < most) & F.upper("text").contains("CONTENTS"))
+    lines = rows.select("page", F.posexplode(F.split("text", r"\r\n|[\n\r\f\x0B\x85\u2028\u2029]")).alias("pos", "line")).where(F.regexp_like("line", F.lit(ENTRY)))
+    title = F.trim(F.regexp_extract("line", ENTRY, 2))
+    for bad, good in MISREAD:
+        title = F.replace(title, F.lit(bad), F.lit(good))
+    parts = lines.select("page", "pos", F.regexp_extract("line", ENTRY, 1).cast("int").alias("num"), title.alias("title"))
     return parts.groupBy("num").agg(F.min_by("title", F.struct("page", "pos")).alias("title"))
 
 
