@@ -1,11 +1,15 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-A text's terms are its words (runs of non-blank characters) weighted by their counts. Hashes of a term give it
-r ~ Gamma(2, 1), c ~ Gamma(2, 1) and b ~ U(0, 1); with weight w its sample is t = floor(ln w / r + b) and its rank
-ln c - r (t - b) - r. A fingerprint deals terms into BINS bins by hash and keeps (term, t) of least rank in each bin
-that has terms, so one rank per term serves the whole signature. Two texts agree in a bin with a chance equal to the
-generalised Jaccard similarity of their weights there; likeness is the share of agreeing bins among the bins that
-either text fills.
+A text's terms are its words (runs of non-blank characters) weighted by their counts. Each of SAMPLES samples is drawn
+over all terms of the text: hashes of a term give it r ~ Gamma(2, 1), c ~ Gamma(2, 1) and b ~ U(0, 1); with weight w its
+quantum is t = floor(ln w / r + b) and its rank c exp(-r (t - b + 1)), and the sample is (term, t) of least rank. Two texts
+agree in a sample with a chance equal to the generalised Jaccard similarity of their weights; likeness is the share of
+samples that agree.
+
+The variables are drawn so that a word that comes once, as most do, costs one hash. With S, E, F ~ Exp(1) independent,
+c = S + E, e = ln(c / S), r = e + F and b = 1 - e / r have the distributions above, and the rank is S exp(-r t). So S
+comes from the first hash, and t = 0 where w = 1: the least rank there is the greatest hash. Words that come more
+often are ranked a row for each sample that they can win, and each sample takes the greater of both.
 
 Documents are dealt by ranges of doc_id, and every later step (the next document, counts, bins, likeness) stays
 within a range: the text is shuffled once. The first document of a range stands in the range before it as a guest,
@@ -23,7 +27,9 @@ from pyspark.sql import functions as F
 
 from .store import parts_for, text_bytes
 
-BINS = 128
+SAMPLES = 128
+#: Samples to a row where words that come once are drawn: as many columns as one compiled method takes well.
+BLOCK = 16
 BLANK = r"[\x20\x09-\x0D]+"
 #: Bytes of text in a range, and the most limits between ranges that are computed.
 RANGE_BYTES, LIMITS = 2 << 20, 1000
@@ -34,22 +40,41 @@ def _uniform(h: Column, shift: int) -> Column:
     return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") + F.lit(0.5)) / F.lit(float(1 << 32))
 
 
-def sample_key(term: Column, weight: Column) -> Column:
-    """A long that orders the terms of a bin by rank; its low 24 bits name (term, t)."""
-    one, two, three = (F.xxhash64(term, F.lit(i)) for i in (1, 2, 3))
-    r = -F.log(_uniform(one, 0) * _uniform(one, 32))
-    c = -F.log(_uniform(two, 0) * _uniform(two, 32))
-    b = _uniform(three, 0)
-    t = F.floor(F.log(weight.cast("double")) / r + b)
-    rank = F.log(c) - r * (t - b) - r  # above -128 and below 8
-    return F.shiftleft(F.floor((rank + F.lit(128.0)) * F.lit(float(1 << 31))).cast("long"), 24).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFFFF)))
+def draw(term: Column, sample: Column) -> Column:
+    """The hash that orders the terms of weight 1 of a sample: greatest first. Its low 24 bits name (term, t = 0)."""
+    return F.xxhash64(term, sample)
+
+
+def _level(h: Column) -> Column:
+    """The number in (0, 1) that a draw or a value stands for."""
+    return (F.shiftright(h, 24).cast("double") + F.lit(float(1 << 39) + 0.5)) / F.lit(float(1 << 40))
+
+
+def may_win(h: Column, weight: Column, best: Column) -> Column:
+    """Whether a term of some weight can come before `best`, the greatest draw of weight 1: its rank S exp(-r t) is at
+    least (1 - q) exp(-F) / weight, and the rank of best at most (1 - q) / q of best."""
+    least = (F.lit(1.0) - _level(h)) * _uniform(F.xxhash64(h, F.lit(1)), 32)
+    return best.isNull() | (least * _level(best) <= weight * (F.lit(1.0) - _level(best)))
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """rows with h (a draw) and weight: value, which orders terms of any weight among the draws, with (term, t) in its low
+    24 bits."""
+    top = float(1 << 40)
+    rows = rows.withColumn("__s", -F.log(_level(F.col("h")))).withColumn("__h2", F.xxhash64("h", F.lit(1)))
+    rows = rows.withColumn("__e", F.log(F.lit(1.0) - F.log(_uniform(F.col("__h2"), 0)) / F.col("__s")))
+    rows = rows.withColumn("__r", F.col("__e") - F.log(_uniform(F.col("__h2"), 32)))
+    rows = rows.withColumn("__t", F.floor((F.log(F.col("weight").cast("double")) - F.col("__e")) / F.col("__r")) + F.lit(1))
+    # exp(-rank) is uniform, as q is for weight 1
+    level = F.least(F.floor(F.exp(-F.col("__s") * F.exp(-F.col("__r") * F.col("__t"))) * F.lit(top)), F.lit((1 << 40) - 1)) - F.lit(1 << 39)
+    name = (F.col("h") + F.col("__t") * F.lit(0x9E3779B1)).bitwiseAND(F.lit(0xFFFFFF))
+    value = F.when(F.col("__t") <= 0, F.col("h")).otherwise(F.shiftleft(level.cast("long"), 24).bitwiseOR(name))
+    return rows.withColumn("value", value).drop("__s", "__h2", "__e", "__r", "__t")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of agreeing bins of two arrays of (bin << 24 | sample)."""
-    bins = lambda x: F.transform(x, lambda e: F.shiftright(e, 24))
-    either = F.size(F.array_union(bins(a), bins(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either).cast("double")
+    """Share of agreeing samples of two arrays of (sample << 24 | name)."""
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(F.size(a), F.size(b))).cast("double")
 
 
 def _ranges(docs: DataFrame) -> DataFrame:
@@ -84,7 +109,7 @@ def _ranges(docs: DataFrame) -> DataFrame:
     return out
 
 
-def report(documents: DataFrame, bins: int = BINS) -> DataFrame:
+def report(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = Window.partitionBy("route").orderBy(F.col("guest"), F.col("doc_id").desc(), "text")
@@ -100,10 +125,28 @@ def report(documents: DataFrame, bins: int = BINS) -> DataFrame:
     fact = F.col("word").startswith(" ")
     terms = terms.select("route", "rn", "v", F.when(~fact, F.xxhash64("word")).alias("term"), F.when(fact, F.col("word")).alias("facts"))
     counted = terms.groupBy("route", "rn", "v", "term", "facts").agg(F.count(F.lit(1)).alias("n"))
-    keyed = counted.select("route", "rn", "v", "facts", F.pmod("term", F.lit(bins)).alias("bin"), F.when(F.col("term").isNotNull(), sample_key(F.col("term"), F.col("n"))).alias("key"))
-    least = keyed.groupBy("route", "rn", "v", "bin", "facts").agg(F.min("key").alias("key"))
-    entry = F.shiftleft(F.col("bin").cast("long"), 24).bitwiseOR(F.col("key").bitwiseAND(F.lit(0xFFFFFF)))
-    signed = least.groupBy("route", "rn").agg(
+    # words that come once: rows of BLOCK samples, a column for each; the others go along as they are
+    single, often = (F.col("n") == 1) & F.col("term").isNotNull(), F.col("often")
+    blocks = F.explode(F.when(single, F.array(*map(F.lit, range(samples // BLOCK)))).otherwise(F.array(F.lit(-1)))).alias("j")
+    dealt = counted.select("route", "rn", "v", "facts", "term", F.when(~single, F.col("term")).alias("often"), F.when(~single, F.col("n")).alias("weight"), blocks)
+    least = [F.max(F.when(F.col("j") >= 0, draw(F.col("term"), F.col("j") * BLOCK + k))).alias(f"s{k}") for k in range(BLOCK)]
+    dealt = dealt.groupBy("route", "rn", "v", "j", "facts", "often", "weight").agg(*least)
+    packed = dealt.groupBy("route", "rn", "v").agg(
+        F.max("facts").alias("facts"),
+        F.collect_list(F.when(often.isNotNull(), F.struct(often.alias("term"), "weight"))).alias("often"),
+        F.array_sort(F.collect_list(F.when(F.col("j") >= 0, F.struct("j", F.array(*[f"s{k}" for k in range(BLOCK)]).alias("s"))))).alias("s"),
+    )
+    blank = F.array(*[F.lit(None).cast("long")] * samples)
+    packed = packed.withColumn("s", F.when(F.size("s") == 0, blank).otherwise(F.flatten("s.s")))
+    none = F.struct(F.lit(None).cast("long").alias("term"), F.lit(None).cast("long").alias("weight"))
+    rows = packed.select("route", "rn", "v", "facts", "s", F.explode(F.concat(F.array(none), "often")).alias("x"))
+    rows = rows.select("route", "rn", "v", F.when(F.col("x.term").isNull(), F.col("facts")).alias("facts"), "x.term", "x.weight", F.posexplode("s").alias("k", "s"))
+    rows = rows.select("route", "rn", "v", F.when(F.col("k") == 0, F.col("facts")).alias("facts"), "k", "s", "weight", F.when(F.col("term").isNotNull(), draw(F.col("term"), F.col("k"))).alias("h"))
+    rows = rows.where(F.col("h").isNull() | may_win(F.col("h"), F.col("weight"), F.col("s")))
+    values = ranked(rows).groupBy("route", "rn", "v", "k", "facts").agg(F.max(F.when(F.col("h").isNull(), F.col("s")).otherwise(F.col("value"))).alias("value"))
+    best = values.groupBy("route", "rn", "v", "k").agg(F.max("facts").alias("facts"), F.max("value").alias("value"))
+    entry = F.when(F.col("value").isNotNull(), F.shiftleft(F.col("k").cast("long"), 24).bitwiseOR(F.col("value").bitwiseAND(F.lit(0xFFFFFF))))
+    signed = best.groupBy("route", "rn").agg(
         F.max("facts").alias("facts"),
         F.array_sort(F.collect_list(F.when(F.col("v") == 0, entry))).alias("own"),
         F.array_sort(F.collect_list(F.when(F.col("v") == 1, entry))).alias("other"),
