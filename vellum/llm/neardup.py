@@ -34,7 +34,7 @@ BANDS, MINIMA = 20, 3
 SHARED = 3
 #: Turns in which single texts of a group meet all others of it, before texts outside of its largest part do. Of those,
 #: up to EACH are paired by a join, up to WIDE by comparing blocks of BLOCK sketches, more are first divided by further keys.
-TURNS, EACH, WIDE, BLOCK = 2, 32, 20000, 256
+TURNS, EACH, WIDE, BLOCK = 2, 32, 20000, 512
 #: Bins of a sketch, and the standard errors by which its estimate may fall below SIMILARITY (lost: 3 in 100,000 pairs).
 BINS, ERRORS = 1024, 4.0
 _SKETCH = "doc_id long, sig binary, n long, keys array<long>, bins binary"
@@ -247,18 +247,18 @@ def _in_blocks(open_: DataFrame, bins: DataFrame) -> DataFrame:
     return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long")
 
 
-def _pairs_left(open_: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+def _pairs_left(open_: DataFrame, reps: DataFrame, bins: DataFrame, least: int) -> DataFrame:
     """Likely pairs across parts of every key. A key with very many texts outside of its largest part is first divided by
     the other keys that its texts hold: a pair shares `least` keys, so it meets again in a smaller group."""
-    by_rep = written(reps.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"), F.max("bins").alias("bins")), "by-rep")
-    keys, bins = (by_rep.select(F.col("rep").alias(f"{c}_of"), c) for c in ("keys", "bins"))
+    keys = reps.groupBy(F.col("rep").alias("keys_of")).agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
     open_, pairs = open_.withColumn("of", F.array("key")), []
     for level in range(max(1, least)):
         small = open_.where(F.col("outs") <= EACH)
         pairs.append(_plausible(_across(small, small.where("out")), reps, least))
         more = F.col("outs") > EACH
         wide = more & (F.col("outs") > WIDE) if level + 1 < least else F.lit(False)
-        pairs.append(_in_blocks(open_.where(more & ~wide), bins))
+        if not (several := open_.where(more & ~wide)).isEmpty():
+            pairs.append(_in_blocks(several, bins))
         if level + 1 >= least or (wide := open_.where(wide)).isEmpty():
             break
         shared = wide.join(keys, F.col("rep") == F.col("keys_of")).select("rep", "n", "part", "of", F.explode(F.array_except("keys", "of")).alias("and"))
@@ -270,9 +270,10 @@ def _pairs_left(open_: DataFrame, reps: DataFrame, least: int) -> DataFrame:
     return out.distinct()
 
 
-def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataFrame:
-    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys, bins. Every such pair is compared, or
-    other links join it; of groups of many texts, every pair whose sketches do not rule it out.
+def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1, bins: DataFrame | None = None) -> DataFrame:
+    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys; bins: rep, bins (in reps if None).
+    Every such pair is compared, or other links join it; of groups of many texts, every pair whose sketches do not rule it
+    out.
 
     Pairs with a key's first document come first. What they leave in several parts is paired across parts: texts
     outside of the key's largest part with all others. Before, where that is many pairs, for up to TURNS turns one text of
@@ -292,7 +293,7 @@ def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataF
             return found
         last = turn == TURNS or not left["large"]
         if last:
-            pairs = _pairs_left(open_, reps, least_shared)
+            pairs = _pairs_left(open_, reps, (reps if bins is None else bins).select(F.col("rep").alias("bins_of"), "bins"), least_shared)
         else:
             one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "part", "n")).alias("one")
             others = written(open_.groupBy("key", "out").agg(one).select("key", "one.rep", "one.part", "one.n"), "others")
@@ -307,9 +308,9 @@ def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataF
 def classes(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (the class's least doc_id), class_size, n_links: one row per distinct doc_id."""
     known = written(sketches(documents), "sketches")
-    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bins").alias("bins"))
+    by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     reps = written(by_sig, "reps")
-    found = links(documents, reps.select("rep", "n", "keys", "bins"), SHARED)
+    found = links(documents, reps.select("rep", "n", "keys"), SHARED, known.select(F.col("doc_id").alias("rep"), "bins"))
     # rows that share a doc_id but not their words are joined into one document
     same = known.select("doc_id", "sig").join(reps.select(F.col("sig").alias("s"), "rep"), F.col("sig") == F.col("s")).select("doc_id", "rep").distinct()
     members = written(same, "members")
