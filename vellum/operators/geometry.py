@@ -215,3 +215,13 @@ def merge_views(boxes: DataFrame, extra: DataFrame, width: float, least: float =
 
     schema = {"page": pa.int64(), "ord": pa.int32(), "label": pa.string(), "score": pa.float64()} | _BOX
     return _by_page(tagged, ["part", "at", "i"], ["label", "score", *_BOX], fold, schema, "page long, ord int, label string, score double, x0 double, y0 double, x1 double, y1 double")
+
+
+def reading_order(items: DataFrame) -> DataFrame:
+    """items (page, i, col, y0) with rank: by column (-1: over both, 0, 1), then from the top; ties in order of i."""
+    return items.withColumn("rank", F.row_number().over(Window.partitionBy("page").orderBy("col", "y0", "i")).cast("long"))
+
+
+def page_range(pages: DataFrame, first: int, last: int) -> DataFrame:
+    """The pages from first up to but not with last."""
+    return pages.where((F.col("page") >= first) & (F.col("page") < last))

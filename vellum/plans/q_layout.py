@@ -157,3 +157,19 @@ def low_confidence(spark, sf_dir):
 WITH c AS (SELECT user_id AS "case", event_type AS answer, count(*)::BIGINT AS n FROM events GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY "case" ORDER BY n DESC, answer)::INT AS rank FROM c) SELECT * FROM r WHERE rank <= 3""")
 def probe_answers(spark, sf_dir):
     return confidence.answer_counts(view(spark, sf_dir, "events").select(F.col("user_id").alias("case"), F.col("event_type").alias("answer")))
+
+
+@query("SELECT page, i, row_number() OVER (PARTITION BY page ORDER BY i % 3 - 1, y0, i) AS rank FROM v_boxes")
+def reading_order(spark, sf_dir):
+    items = view(spark, sf_dir, "v_boxes").select("page", "i", (F.col("i") % 3 - 1).alias("col"), "y0")
+    return geometry.reading_order(items).select("page", "i", "rank")
+
+
+@query("SELECT page, count(*) AS n FROM v_boxes WHERE page >= 100 AND page < 1000 GROUP BY page")
+def page_range(spark, sf_dir):
+    return geometry.page_range(view(spark, sf_dir, "v_boxes"), 100, 1000).groupBy("page").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT response_id AS case, min(logprob) AS worst FROM v_tokens GROUP BY response_id")
+def worst_reading(spark, sf_dir):
+    return confidence.worst_reading(view(spark, sf_dir, "v_tokens").withColumnRenamed("response_id", "case"))
