@@ -23,6 +23,8 @@ CUT = 0.7
 #: Rows of either kind that the model is fitted on.
 SAMPLE = 12000
 BINS = 12
+#: Parts of the sample that the prior is read off in turn.
+PARTS = 5
 
 
 def _styles(batches):
@@ -73,14 +75,11 @@ def _gather(b: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
 
 
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.3) -> float:
-    """The least ratio of unlabelled to positive mass over upper score regions that hold a share of positives.
-
-    Each ratio carries half its standard error, so that a small region doesn't win by chance."""
+    """The least ratio of unlabelled to positive mass over upper score regions that hold a share of positives."""
     cuts = np.quantile(positive, np.linspace(0, 1 - least, 60))
     p = np.array([(positive >= c).mean() for c in cuts])
     u = np.array([(unlabelled >= c).mean() for c in cuts])
-    error = np.sqrt(u * (1 - u) / len(unlabelled) + p * (1 - p) / len(positive))
-    return float(np.clip(((u + error / 2) / p).min(), 0.05, 0.99))
+    return float(np.clip((u / p).min(), 0.05, 0.99))
 
 
 class Model:
@@ -92,12 +91,15 @@ class Model:
         def against(w, p, u):
             return _gather(p, (_sigmoid(_margin(w, p)) - 1) / len(p), size) + _gather(u, _sigmoid(_margin(w, u)) / len(u), size) + keep(w)
 
-        # the prior is read off rows that the first model hasn't seen, each half of the rows in turn
-        held = []
-        for i in (0, 1):
-            first = _descend(lambda w, i=i: against(w, p[i::2], u[i::2]), size, 250) if min(len(p), len(u)) > 1 else np.zeros(size)
-            held.append(estimate_prior(_margin(first, p[1 - i :: 2]), _margin(first, u[1 - i :: 2])) if min(len(p), len(u)) > 1 else 0.5)
-        self.prior = prior = sum(held) / 2
+        # the prior is read off scores of rows that the model behind them hasn't seen, all parts taken together
+        sp, su = np.zeros(len(p)), np.zeros(len(u))
+        for i in range(PARTS):
+            a, b = np.arange(len(p)) % PARTS == i, np.arange(len(u)) % PARTS == i
+            if a.all() or b.all():  # a single row of a kind
+                continue
+            first = _descend(lambda w, a=a, b=b: against(w, p[~a], u[~b]), size, 250)
+            sp[a], su[b] = _margin(first, p[a]), _margin(first, u[b])
+        self.prior = prior = estimate_prior(sp, su) if min(len(p), len(u)) > 1 else 0.5
 
         def risk(w):
             zp, zu = _margin(w, p), _margin(w, u)
