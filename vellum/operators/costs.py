@@ -69,6 +69,14 @@ def fits(host: Host) -> Column:
     return want & (F.col("region") == host.region) if host.region else want
 
 
+def market(offers: DataFrame, host: Host) -> DataFrame:
+    """The offers that fit, by price; ValueError where there is none."""
+    found = offers.where(fits(host))
+    if found.isEmpty():
+        raise ValueError(f"no offer fits {host}")
+    return found.orderBy("dph_total", "id")
+
+
 def without(offers: DataFrame, avoid: DataFrame) -> DataFrame:
     """offers whose machine isn't in avoid (machine_id); offers without a machine stay."""
     return offers.join(avoid.select("machine_id").distinct(), "machine_id", "left_anti")

@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 # Labels that never yield to a table, and labels outside the columns of text.
 HARD = ("table", "image", "seal", "chart")
 NOT_COLUMN = ("number", "header", "footer", "header_image", "footer_image")
@@ -225,3 +227,25 @@ def reading_order(items: DataFrame) -> DataFrame:
 def page_range(pages: DataFrame, first: int, last: int) -> DataFrame:
     """The pages from first up to but not with last."""
     return pages.where((F.col("page") >= first) & (F.col("page") < last))
+
+
+def text_lines(spans: DataFrame, width: float, gutter: float, wide: float = 0.49, band: float = 10.0) -> DataFrame:
+    """page, block, line, col, x0, y0, x1, y1, text, size (the largest) of the lines that spans make up.
+
+    spans: page, block, line, text, size, x0, y0, x1, y1; blank ones don't count, but in a line's box. On a page of two
+    columns a line is split at the gutter by the middles of its spans, unless it is narrow and stands across: col -1."""
+    box = lambda: [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+    key = ["page", "block", "line"]
+    full = spans.where(T.strip(F.col("text")) != "")
+    lines = spans.groupBy(*key).agg(*box(), F.count_if(T.strip(F.col("text")) != "").alias("__n")).where("__n > 0").drop("__n")
+    named = lambda df: df.withColumn("line", F.struct("block", "line"))
+    pages = two_columns(named(lines), named(full), width, gutter, wide, band)
+    across = (F.col("l0") < gutter) & (F.col("l1") > gutter) & (F.col("l1") - F.col("l0") < width * wide)
+    side = F.when((F.col("x0") + F.col("x1")) / 2 < gutter, 0).otherwise(1)
+    placed = full.join(lines.select(*key, F.col("x0").alias("l0"), F.col("x1").alias("l1"), F.col("y0").alias("m0"), F.col("y1").alias("m1")), key).join(pages, "page")
+    placed = placed.withColumn("col", F.when(~F.col("two_col"), 0).when(across, -1).otherwise(side))
+    split = F.col("two_col") & (F.col("col") >= 0)
+    sides = {"x0": ("l0", F.min), "y0": ("m0", F.min), "x1": ("l1", F.max), "y1": ("m1", F.max)}
+    return placed.groupBy(*key, "col").agg(
+        *[f(F.when(split, F.col(c)).otherwise(F.col(own))).alias(c) for c, (own, f) in sides.items()], T.joined_spans(F.collect_list(F.struct("x0", "text"))).alias("text"), F.max("size").alias("size")
+    )

@@ -130,8 +130,25 @@ def carry_folio(items: DataFrame) -> DataFrame:
     return items.withColumn("printed", F.last("folio", ignorenulls=True).over(Window.partitionBy("book").orderBy("pos")))
 
 
+def whole_tables(lines: DataFrame, by: list[str]) -> DataFrame:
+    """lines (by…, line, text) with the lines of a table as one, under its first line's number.
+
+    A table ends at the first </table> behind its start; without one it is no table. A line's last tag says whether the
+    next one is inside a table."""
+    order = Window.partitionBy(*by).orderBy("line")
+    last = F.try_element_at(T.all_of(F.lower("text"), r"<table\b|</table>"), F.lit(-1))
+    tagged = lines.withColumn("__tag", last).withColumn("__closes", F.max(F.when(F.lower("text").contains("</table>"), F.col("line"))).over(Window.partitionBy(*by)))
+    before = F.last("__tag", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.coalesce((before == "<table") & (F.col("line") <= F.col("__closes")), F.lit(False))
+    rows = tagged.withColumn("__first", F.when(~inside, F.col("line"))).withColumn("__first", F.last("__first", ignorenulls=True).over(order))
+    text = F.array_join(F.array_sort(F.collect_list(F.struct("line", "text")))["text"], "\n")
+    return rows.groupBy(*by, F.col("__first").alias("line")).agg(text.alias("text"), F.max("line").alias("last"))
+
+
 def measures(lines: DataFrame) -> DataFrame:
-    """One row of counts per book over its lines (markup of a table is within one line)."""
+    """One row of counts per book over its lines; what stands in tables, over several lines too, is no heading or word."""
+    broken = lines.groupBy("book").agg(F.count_if(F.regexp_like("text", F.lit(WORD_END))).alias("open_hyphens"))
+    lines = whole_tables(lines, ["book"])
     body = F.regexp_replace("text", T.TABLE, "")
     heads = headings(lines.withColumn("text", body))
     by_head = heads.groupBy("book").agg(
@@ -143,10 +160,9 @@ def measures(lines: DataFrame) -> DataFrame:
     counts = lines.groupBy("book").agg(
         F.sum(word).cast("long").alias("words"), n(T.TABLE).alias("tables"), n("скан таблицы:").alias("scans"), n("<img").alias("images"),
         F.count_if(F.regexp_like(body, F.lit(r"^(?:<[^>]+>\s*)*Fig\."))).alias("captions"), n(T.CAUTION).alias("cautions"), n(T.UNSTABLE).alias("unstable"), n("<mark").alias("marks"),
-        F.count_if(F.regexp_like("text", F.lit(WORD_END))).alias("open_hyphens"),
     )
     figures = lines.select("book", F.explode(T.all_of(body, r"Fig\.\s*\d+\.\d+[a-z]?")).alias("f")).groupBy("book").agg(F.countDistinct("f").alias("figures"))
-    out = counts.join(by_head, "book", "left").join(bad, "book", "left").join(figures, "book", "left")
+    out = counts.join(broken, "book").join(by_head, "book", "left").join(bad, "book", "left").join(figures, "book", "left")
     return out.na.fill(0, ["chapters", "headings", "numbered", "disorder", "figures"])
 
 
@@ -155,9 +171,10 @@ def chapter_map(lines: DataFrame) -> DataFrame:
     by = Window.partitionBy("book").orderBy("line")
     num = T.chapter_number(F.regexp_extract("text", r"^#{1,6}\s+(\S.*)$", 1))
     rows = lines.withColumn("__start", F.when(num.isNotNull(), F.col("line"))).withColumn("__chapter", F.last("__start", ignorenulls=True).over(by)).where("__chapter is not null")
+    rows = whole_tables(rows.select("book", "__chapter", "line", "text"), ["book", "__chapter"])
     n = lambda p: F.sum(F.regexp_count("text", F.lit(p))).cast("long")
     word = F.size(F.filter(F.split(T.untag(F.regexp_replace("text", T.TABLE, ""), " "), r"(?U)\s+"), lambda w: w != ""))
-    out = rows.groupBy("book", F.col("__chapter").alias("start")).agg(F.max("line").alias("end"), F.sum(word).cast("long").alias("words"), n(T.TABLE).alias("tables"), n(f"[{T.CAUTION}{T.UNSTABLE}]|<mark").alias("marks"))
+    out = rows.groupBy("book", F.col("__chapter").alias("start")).agg(F.max("last").alias("end"), F.sum(word).cast("long").alias("words"), n(T.TABLE).alias("tables"), n(f"[{T.CAUTION}{T.UNSTABLE}]|<mark").alias("marks"))
     return out.withColumn("clean", (F.col("tables") == 0) & (F.col("marks") == 0))
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import q_costs, q_jobs, q_layout, q_render, q_structure, q_tables
+from . import q_costs, q_jobs, q_layout, q_render, q_reports, q_structure, q_tables
 from .views import oracle
 
-MODULES = [q_tables, q_costs, q_structure, q_layout, q_jobs, q_render]
+MODULES = [q_tables, q_costs, q_structure, q_layout, q_jobs, q_render, q_reports]
 
 
 def queries() -> dict:

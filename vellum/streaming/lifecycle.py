@@ -117,3 +117,34 @@ def run_stats(pages: DataFrame) -> DataFrame:
         n.alias("pages"), F.round(n / F.sum("seconds"), 3).alias("pages_per_s"), F.sum("in_tokens").alias("in_tokens"), F.sum("out_tokens").alias("out_tokens"),
         F.count_if("fallback").alias("fallback_pages"), F.round(F.avg("attempts"), 2).alias("avg_attempts"),
     )
+
+
+def outcomes(statuses: DataFrame, timeout_s: float) -> DataFrame:
+    """instance, outcome, at: the first decisive status (instance, at in seconds, status) of each instance.
+
+    running is up, exited and offline are dead; one that isn't decided within timeout_s of its first status is late.
+    One aggregation, so it serves a batch and a stream in complete mode."""
+    what = F.when(F.col("status") == "running", "up").when(F.col("status").isin("exited", "offline"), "dead")
+    first = F.min_by(F.struct("at", what.alias("outcome")), F.when(what.isNotNull(), F.struct("at", what)))
+    rows = statuses.groupBy("instance").agg(F.min("at").alias("__since"), first.alias("__d"))
+    soon = F.coalesce(F.col("__d.at") - F.col("__since") < timeout_s, F.lit(False))
+    return rows.select("instance", F.when(soon, F.col("__d.outcome")).otherwise("late").alias("outcome"), F.when(soon, F.col("__d.at")).otherwise(F.col("__since") + timeout_s).alias("at"))
+
+
+def overdue(ticks: DataFrame, runs: DataFrame) -> DataFrame:
+    """instance, at of the ticks (instance, at) at or after the end of the run's budget (runs: instance, started, limit_s).
+
+    Without state, so that each later tick of a stream asks again until the instance is gone and no longer ticks."""
+    ends = runs.select("instance", (F.col("started") + F.col("limit_s")).alias("__end"))
+    return ticks.join(ends, "instance").where(F.col("at") >= F.col("__end")).select("instance", "at")
+
+
+def summary(pages: DataFrame) -> DataFrame:
+    """run, pages, seconds, pages_per_sec of each run's finished pages (run, at in seconds)."""
+    span = F.max("at") - F.min("at")
+    return pages.groupBy("run").agg(F.count(F.lit(1)).alias("pages"), F.round(span, 1).alias("seconds"), F.round(F.count(F.lit(1)) / F.greatest(span, F.lit(1e-6)), 3).alias("pages_per_sec"))
+
+
+def write_summary(rows: DataFrame, path: str) -> None:
+    """Replace the summary of runs at path: a JSON line each."""
+    rows.write.mode("overwrite").json(path)
