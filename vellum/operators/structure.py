@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 WORD_END = r"\p{L}{2}-$"
+HEADING = r"^(#{1,6})\s+(\S.*)$"
 
 
 def lines_of(volumes: DataFrame) -> DataFrame:
@@ -17,11 +18,10 @@ def lines_of(volumes: DataFrame) -> DataFrame:
 
 def headings(lines: DataFrame) -> DataFrame:
     """book, line, role (chapter or sub), title, num, depth of the heading lines."""
-    form = r"^(#{1,6})\s+(\S.*)$"
-    hits = lines.where(F.col("text").startswith("#") & F.regexp_like("text", F.lit(form)))
-    title = F.regexp_extract("text", form, 2)
+    hits = lines.where(F.col("text").startswith("#") & F.regexp_like("text", F.lit(HEADING)))
+    title = F.regexp_extract("text", HEADING, 2)
     num = T.chapter_number(title)
-    return hits.select("book", "line", F.when(num.isNotNull(), "chapter").otherwise("sub").alias("role"), T.strip(title).alias("title"), num.alias("num"), F.length(F.regexp_extract("text", form, 1)).alias("depth"))
+    return hits.select("book", "line", F.when(num.isNotNull(), "chapter").otherwise("sub").alias("role"), T.strip(title).alias("title"), num.alias("num"), F.length(F.regexp_extract("text", HEADING, 1)).alias("depth"))
 
 
 def ranges(heads: DataFrame, last: DataFrame) -> DataFrame:
@@ -147,23 +147,21 @@ def whole_tables(lines: DataFrame, by: list[str]) -> DataFrame:
 
 def measures(lines: DataFrame) -> DataFrame:
     """One row of counts per book over its lines; what stands in tables, over several lines too, is no heading or word."""
-    broken = lines.groupBy("book").agg(F.count_if(F.regexp_like("text", F.lit(WORD_END))).alias("open_hyphens"))
-    lines = whole_tables(lines, ["book"])
-    body = F.regexp_replace("text", T.TABLE, "")
-    heads = headings(lines.withColumn("text", body))
-    by_head = heads.groupBy("book").agg(
-        F.count_if(F.col("role") == "chapter").alias("chapters"), F.count(F.lit(1)).alias("headings"), F.count_if((F.col("role") == "sub") & T.section_number(F.col("title")).isNotNull()).alias("numbered")
-    )
-    bad = disorder(heads).groupBy("book").agg(F.count_if("bad").alias("disorder"))
+    whole = whole_tables(lines, ["book"]).withColumn("body", F.regexp_replace("text", T.TABLE, ""))
     n = lambda p: F.sum(F.regexp_count("text", F.lit(p))).cast("long")
-    word = F.size(F.filter(F.split(T.untag(body, " "), r"(?U)\s+"), lambda w: w != ""))
-    counts = lines.groupBy("book").agg(
+    word = F.size(F.filter(F.split(T.untag(F.col("body"), " "), r"(?U)\s+"), lambda w: w != ""))
+    title, head = F.regexp_extract("body", HEADING, 2), F.col("body").startswith("#") & F.regexp_like("body", F.lit(HEADING))
+    chapter = T.chapter_number(title).isNotNull()
+    counts = whole.groupBy("book").agg(
         F.sum(word).cast("long").alias("words"), n(T.TABLE).alias("tables"), n("скан таблицы:").alias("scans"), n("<img").alias("images"),
-        F.count_if(F.regexp_like(body, F.lit(r"^(?:<[^>]+>\s*)*Fig\."))).alias("captions"), n(T.CAUTION).alias("cautions"), n(T.UNSTABLE).alias("unstable"), n("<mark").alias("marks"),
+        F.count_if(F.regexp_like("body", F.lit(r"^(?:<[^>]+>\s*)*Fig\."))).alias("captions"), n(T.CAUTION).alias("cautions"), n(T.UNSTABLE).alias("unstable"), n("<mark").alias("marks"),
+        n("(?md)" + WORD_END).alias("open_hyphens"), F.count_if(head & chapter).alias("chapters"), F.count_if(head).alias("headings"),
+        F.count_if(head & ~chapter & T.section_number(T.strip(title)).isNotNull()).alias("numbered"),
+        F.size(F.array_distinct(F.flatten(F.collect_set(T.all_of(F.col("body"), r"Fig\.\s*\d+\.\d+[a-z]?"))))).cast("long").alias("figures"),
     )
-    figures = lines.select("book", F.explode(T.all_of(body, r"Fig\.\s*\d+\.\d+[a-z]?")).alias("f")).groupBy("book").agg(F.countDistinct("f").alias("figures"))
-    out = counts.join(broken, "book").join(by_head, "book", "left").join(bad, "book", "left").join(figures, "book", "left")
-    return out.na.fill(0, ["chapters", "headings", "numbered", "disorder", "figures"])
+    heads = headings(whole.select("book", "line", F.col("body").alias("text")))
+    bad = disorder(heads).groupBy("book").agg(F.count_if("bad").alias("disorder"))
+    return counts.join(bad, "book", "left").na.fill(0, ["disorder"])
 
 
 def chapter_map(lines: DataFrame) -> DataFrame:
