@@ -206,7 +206,7 @@ def _blocks(benchmark: DataFrame, limit: int):
     block, held = [], 0
     for row in benchmark.select(F.col("item_id").cast("string").alias("i"), "text").where("item_id is not null and text is not null").toLocalIterator():
         block.append((row["i"], row["text"]))
-        held += len(row["text"])
+        held += len(row["text"].encode())
         if held >= limit:
             yield block
             block, held = [], 0
