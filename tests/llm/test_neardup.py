@@ -238,3 +238,27 @@ def test_awkward_and_empty(spark):
     assert kept.columns == cases.awkward(spark).columns
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(5) == 1 and 7 not in ids and ids.count(None) == 2
+
+
+def test_a_large_group_of_near_copies_gives_links_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "EACH", 2)
+    rng = random.Random(8)
+    rows = [(i, edited(cases.prose(900 + i % 6, 100), rng, rng.choice([1, 2]))) for i in range(180)]
+    reps = with_bins(spark, [(d, t, [7, 8, 9, 1000 + d]) for d, t in rows])
+    found = neardup.links(cases.documents(spark, rows), reps, 3)
+    got = {r.node: r.root for r in graph.components(found.select("a", "b")).collect()}
+    parent = {d: d for d, _ in rows}
+
+    def root(d):
+        return d if parent[d] == d else root(parent[d])
+
+    words = {d: hashes(t) for d, t in rows}
+    pairs = 0
+    for i, (d, _) in enumerate(rows):
+        for e, _ in rows[:i]:
+            if neardup.similarity(words[e], words[d]):
+                pairs += 1
+                x, y = sorted((root(d), root(e)))
+                parent[y] = x
+    assert {d: got.get(d, d) for d in words} == {d: root(d) for d in words}
+    assert pairs > 5 * len(rows) > 5 * found.count()

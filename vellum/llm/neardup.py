@@ -6,6 +6,7 @@ the same shingles come in the same order, so keys follow edit similarity. A pair
 their words (greedy difference algorithm, band set by the threshold at every length) leaves at least SIMILARITY of
 their shingles matched. Links make classes. Texts of one key are compared with its first document, then with one another
 where links do not join them yet: in the end any two texts that share SHARED keys are compared or in one class.
+So links are those that join classes, not all pairs of a class; n_links counts them.
 
 Exact copies (same words) are one text from the start. Rows that share a doc_id are one document. Texts of fewer
 than five words are one shingle. Texts without words are copies only of texts with the same bytes; null is the empty
@@ -15,6 +16,7 @@ text. A null doc_id is in no class (class_id null, class_size 1). Extra columns
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +34,12 @@ SIMILARITY = 0.8
 BANDS, MINIMA = 20, 3
 #: Keys that a compared pair shares. At the threshold 20 keys of chance one half give two or fewer once in 5,000 pairs.
 SHARED = 3
-#: Turns in which single texts of a group meet all others of it, before texts outside of its largest part do. Of those,
-#: up to EACH are paired by a join, up to WIDE by comparing blocks of BLOCK sketches, more are first divided by further keys.
+#: Of a key's texts outside of its largest part, up to EACH are paired with all its texts by a join, up to WIDE in blocks of
+#: BLOCK texts, more are first divided by further keys; before, for up to TURNS turns, single texts of such a key meet all others.
 TURNS, EACH, WIDE, BLOCK = 2, 32, 20000, 512
 #: Bins of a sketch, and the standard errors by which its estimate may fall below SIMILARITY (lost: 3 in 100,000 pairs).
 BINS, ERRORS = 1024, 4.0
-_SKETCH = "doc_id long, sig binary, n long, keys array<long>, bins binary"
+_SKETCH = "doc_id long, sig binary, n long, keys array<long>"
 
 
 def occurrence_labels(values: np.ndarray, kind: str | None = "stable") -> np.ndarray:
@@ -81,10 +83,15 @@ def _bins_from(labelled: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+def _label(shingles: np.ndarray) -> np.ndarray:
+    """Hashes of shingles with their occurrence numbers."""
+    return tokens.mix(shingles + occurrence_labels(shingles).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+
+
 def _sketch(batches):
     for batch in batches:
         for texts in tokens.steps(batch.column("text")):
-            w, sig, n, keys, bins = tokens.words(texts), [], [], [], []
+            w, sig, n, keys = tokens.words(texts), [], [], []
             cut = w.first.tolist()
             for i in range(len(texts)):
                 own = w.hash[cut[i] : cut[i + 1]]
@@ -92,17 +99,14 @@ def _sketch(batches):
                     sig.append(hashlib.md5(b"bytes" + texts.raw(i)).digest())
                     n.append(0)
                     keys.append([])
-                    bins.append(bytes(BINS))
                     continue
                 sig.append(hashlib.md5(own.tobytes()).digest())
                 s = shingles_of(own)
                 n.append(len(s))
-                labelled = tokens.mix(s + occurrence_labels(s).astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB))
-                keys.append(_keys_from(labelled).view(np.int64))
-                bins.append(_bins_from(labelled))
+                keys.append(_keys_from(_label(s)).view(np.int64))
             part = batch.slice(texts.first, len(texts))
-            columns = [part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sig", "n", "keys", "bins"])
+            columns = [part.column("doc_id"), pa.array(sig, pa.binary()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "sig", "n", "keys"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -167,7 +171,7 @@ def _verify(batches):
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """doc_id, sig (of the words), n (shingles), keys, bins."""
+    """doc_id, sig (of the words), n (shingles), keys."""
     docs = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return docs.mapInArrow(_sketch, _SKETCH)
 
@@ -219,64 +223,96 @@ def likely(a: np.ndarray, b: np.ndarray, n: int, m: np.ndarray) -> np.ndarray:
     return same >= SIMILARITY * filled - ERRORS * np.sqrt(SIMILARITY * (1 - SIMILARITY) * filled * missed) - 0.5
 
 
+class _Common:
+    """The keys of a group's texts up to the last of `of`, the keys that define the group."""
+
+    def __init__(self, keys: list[list[int]], of: list[int]):
+        known = [[k for k in own if k <= max(of)] for own in keys]
+        _, self.key = np.unique(np.array([k for own in known for k in own], np.int64), return_inverse=True)
+        self.cut = np.concatenate(([0], np.cumsum([len(own) for own in known])))
+        self.least = len(set(of))
+
+    def only(self, i: int) -> np.ndarray:
+        """Which texts have no key before the last of the group's in common with text i but the group's. A pair that shares
+        many keys so is compared in one group, that of its first ones."""
+        mine = np.zeros(int(self.key.max()) + 1, bool)
+        mine[self.key[self.cut[i] : self.cut[i + 1]]] = True
+        before = np.concatenate(([0], np.cumsum(mine[self.key])))
+        return before[self.cut[1:]] - before[self.cut[:-1]] == self.least
+
+
 def _blocks(table: pa.Table) -> pa.Table:
-    """Likely pairs a < b across parts of two blocks of texts of a key."""
+    """Links a < b across parts of two blocks of texts of a key: enough to join what links of theirs join, so no more than
+    there are texts. Likely pairs are verified most alike first; those that links have joined meanwhile are passed over."""
     column = lambda n: table[n].to_numpy()
-    rep, part, n, left = (column(c) for c in ("rep", "part", "n", "left"))
-    bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
-    u, v = np.flatnonzero(left), np.flatnonzero(~left)
-    found = []
-    for i in u.tolist():
-        to = v[(part[v] != part[i]) & (np.minimum(n[v], n[i]) >= SIMILARITY * np.maximum(n[v], n[i]) - 1e-9)]
+    rep, root, left, out = (column(c) for c in ("rep", "part", "left", "out"))
+    root, common, words = root.copy(), _Common(table["keys"].to_pylist(), table["of"][0].as_py()), []
+    for texts in tokens.steps(table["text"]):
+        w = tokens.words(texts)
+        words += [w.hash[lo:hi].copy() for lo, hi in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+    shingles = [shingles_of(x) for x in words]
+    n = np.array([len(x) for x in shingles], np.int64)
+    bins = np.frombuffer(b"".join(_bins_from(_label(x)) for x in shingles), np.uint8).reshape(-1, BINS)
+    del shingles
+    v, found = np.flatnonzero(~left), []
+    for i in np.flatnonzero(left).tolist():
+        # two texts that both are outside of the largest part meet once, from the lesser one
+        to = v[(root[v] != root[i]) & (~out[v] | (rep[v] > rep[i])) & (np.minimum(n[v], n[i]) >= SIMILARITY * np.maximum(n[v], n[i]) - 1e-9)]
+        to = to[common.only(i)[to]] if len(to) else to
         to = to[likely(bins[i], bins[to], n[i], n[to])]
-        found.append((np.minimum(rep[to], rep[i]), np.maximum(rep[to], rep[i])))
-    a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
-    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _in_blocks(open_: DataFrame, bins: DataFrame) -> DataFrame:
-    """Likely pairs across parts of keys of many texts: blocks of texts outside of the largest part meet blocks of all."""
+        to = to[np.argsort(np.count_nonzero(bins[to] != bins[i], axis=1), kind="stable")]
+        while len(to):
+            j, to = int(to[0]), to[1:]
+            a, b = (i, j) if rep[i] < rep[j] else (j, i)
+            if value := similarity(words[a], words[b]):
+                found.append((rep[a], rep[b], value))
+                root[root == root[j]] = root[i]
+                to = to[root[to] != root[i]]
+    a, b, value = zip(*found, strict=True) if found else ([], [], [])
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(value, pa.float64())], names=["a", "b", "similarity"])
+
+
+def _in_blocks(open_: DataFrame, keys: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links across parts of keys of many texts: blocks of texts outside of the largest part meet blocks of all."""
     blocks = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("of_all"), F.ceil(F.max("outs") / BLOCK).cast("int").alias("of_outs"))
     blocks = written(blocks.withColumnRenamed("key", "k"), "blocks")
-    rows = open_.select("key", "rep", "n", "part", "out").join(blocks, F.col("key") == F.col("k")).join(bins, F.col("rep") == F.col("bins_of"))
+    text = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = open_.select("key", "of", "rep", "part", "out").join(blocks, F.col("key") == F.col("k")).join(keys, F.col("rep") == F.col("keys_of")).join(text, F.col("rep") == F.col("id"))
     place = lambda count: F.pmod(F.xxhash64("rep"), F.col(count)).cast("int")
     others = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    columns = ["key", "rep", "n", "part", "bins"]
+    columns = ["key", "of", "rep", "part", "out", "keys", "text"]
     left = rows.where("out").select(*columns, F.lit(True).alias("left"), place("of_outs").alias("i"), others("of_all").alias("j"))
     right = rows.select(*columns, F.lit(False).alias("left"), others("of_outs").alias("i"), place("of_all").alias("j"))
-    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long")
+    return left.unionByName(right).groupBy("key", "i", "j").applyInArrow(_blocks, "a long, b long, similarity double")
 
 
-def _pairs_left(open_: DataFrame, reps: DataFrame, bins: DataFrame, least: int) -> DataFrame:
-    """Likely pairs across parts of every key. A key with very many texts outside of its largest part is first divided by
+def _links_left(open_: DataFrame, reps: DataFrame, documents: DataFrame, least: int) -> DataFrame:
+    """Links across parts of every key. A key with very many texts outside of its largest part is first divided by
     the other keys that its texts hold: a pair shares `least` keys, so it meets again in a smaller group."""
     keys = reps.groupBy(F.col("rep").alias("keys_of")).agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
-    open_, pairs = open_.withColumn("of", F.array("key")), []
+    open_, pairs, out = open_.withColumn("of", F.array("key")), [], []
     for level in range(max(1, least)):
         small = open_.where(F.col("outs") <= EACH)
         pairs.append(_plausible(_across(small, small.where("out")), reps, least))
         more = F.col("outs") > EACH
         wide = more & (F.col("outs") > WIDE) if level + 1 < least else F.lit(False)
         if not (several := open_.where(more & ~wide)).isEmpty():
-            pairs.append(_in_blocks(several, bins))
+            out.append(_in_blocks(several, keys, documents))
         if level + 1 >= least or (wide := open_.where(wide)).isEmpty():
             break
         shared = wide.join(keys, F.col("rep") == F.col("keys_of")).select("rep", "n", "part", "of", F.explode(F.array_except("keys", "of")).alias("and"))
         shared = shared.select("rep", "n", "part", F.array_sort(F.array_append("of", F.col("and"))).alias("of")).distinct()
         open_ = _opened(shared.withColumn("key", F.xxhash64("of")))
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    out.append(_verified(reduce(DataFrame.unionByName, pairs).distinct(), documents))
+    return reduce(DataFrame.unionByName, out)
 
 
-def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1, bins: DataFrame | None = None) -> DataFrame:
-    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys; bins: rep, bins (in reps if None).
-    Every such pair is compared, or other links join it; of groups of many texts, every pair whose sketches do not rule it
-    out.
+def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1) -> DataFrame:
+    """a, b, similarity: verified pairs that share least_shared keys; reps: rep, n, keys. Every such pair is compared, or
+    other links join it; of groups of many texts, every pair whose sketches do not rule it out.
 
-    Pairs with a key's first document come first. What they leave in several parts is paired across parts: texts
-    outside of the key's largest part with all others. Before, where that is many pairs, for up to TURNS turns one text of
+    Pairs with a key's first document come first. What they leave in several parts is joined across parts: texts
+    outside of the key's largest part with all others. Before, where these are very many, for up to TURNS turns one text of
     the largest part and one outside of it meet the others, so that large groups grow together."""
     keyed = reps.select("rep", "n", F.explode(F.array_distinct("keys")).alias("key"))
     first = keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("k"), "a")
@@ -288,17 +324,16 @@ def links(documents: DataFrame, reps: DataFrame, least_shared: int = 1, bins: Da
         roots = components(found.select("a", "b"))
         placed = shared.join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("part"))
         open_ = _opened(written(placed, "placed"))
-        left = open_.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("outs") > EACH, 1)).alias("large")).first()
+        left = open_.agg(F.count(F.lit(1)).alias("rows"), F.max("outs").alias("outs")).first()
         if not left["rows"]:
             return found
-        last = turn == TURNS or not left["large"]
+        last = turn == TURNS or left["outs"] <= WIDE
         if last:
-            pairs = _pairs_left(open_, reps, (reps if bins is None else bins).select(F.col("rep").alias("bins_of"), "bins"), least_shared)
+            more = _links_left(open_, reps, documents, least_shared)
         else:
             one = F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "part", "n")).alias("one")
             others = written(open_.groupBy("key", "out").agg(one).select("key", "one.rep", "one.part", "one.n"), "others")
-            pairs = _plausible(_across(open_, others), reps, least_shared)
-        more = _verified(pairs, documents)
+            more = _verified(_plausible(_across(open_, others), reps, least_shared), documents)
         found = written(found.unionByName(more).dropDuplicates(["a", "b"]), "links")
         if last:
             break
@@ -310,7 +345,7 @@ def classes(documents: DataFrame) -> DataFrame:
     known = written(sketches(documents), "sketches")
     by_sig = known.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     reps = written(by_sig, "reps")
-    found = links(documents, reps.select("rep", "n", "keys"), SHARED, known.select(F.col("doc_id").alias("rep"), "bins"))
+    found = links(documents, reps.select("rep", "n", "keys"), SHARED)
     # rows that share a doc_id but not their words are joined into one document
     same = known.select("doc_id", "sig").join(reps.select(F.col("sig").alias("s"), "rep"), F.col("sig") == F.col("s")).select("doc_id", "rep").distinct()
     members = written(same, "members")
