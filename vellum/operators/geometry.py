@@ -36,11 +36,13 @@ def matched_boxes(left: DataFrame, right: DataFrame, least: float = 0.5) -> Data
     """page, i, j, iou of boxes of two detectors of one label whose intersection over union is at least `least`."""
     a, b = left.alias("a"), right.alias("b")
     touch = (F.col("a.x0") < F.col("b.x1")) & (F.col("b.x0") < F.col("a.x1")) & (F.col("a.y0") < F.col("b.y1")) & (F.col("b.y0") < F.col("a.y1"))
-    side = lambda lo, hi: F.least(F.col(f"a.{hi}"), F.col(f"b.{hi}")) - F.greatest(F.col(f"a.{lo}"), F.col(f"b.{lo}"))
+    side = lambda lo, hi: F.greatest(F.lit(0.0), F.least(F.col(f"a.{hi}"), F.col(f"b.{hi}")) - F.greatest(F.col(f"a.{lo}"), F.col(f"b.{lo}")))
     area = lambda p: (F.col(f"{p}.x1") - F.col(f"{p}.x0")) * (F.col(f"{p}.y1") - F.col(f"{p}.y0"))
     shared = side("x0", "x1") * side("y0", "y1")
+    # the optimiser may put the last condition before the touch test, so it has to hold for boxes apart as well
+    iou = F.when(shared > 0, shared / (area("a") + area("b") - shared))
     pairs = a.join(b, (F.col("a.page") == F.col("b.page")) & (F.col("a.label") == F.col("b.label")) & touch)
-    return pairs.select(F.col("a.page").alias("page"), F.col("a.i").alias("i"), F.col("b.i").alias("j"), (shared / (area("a") + area("b") - shared)).alias("iou")).where(F.col("iou") >= least)
+    return pairs.select(F.col("a.page").alias("page"), F.col("a.i").alias("i"), F.col("b.i").alias("j"), iou.alias("iou")).where(F.col("iou") >= least)
 
 
 def above_threshold(boxes: DataFrame, usual: float = 0.3, by_label: dict[str, float] | None = None) -> DataFrame:
